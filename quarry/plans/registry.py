@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from quarry.plans import text_oracle, text_queries
+from quarry.plans import series_oracle, series_queries, text_oracle, text_queries
 
 
 def queries() -> dict:
     out = {}
     out.update(text_queries.QUERIES)
+    out.update(series_queries.QUERIES)
     return out
 
 
 def oracle_sql() -> dict:
     out = {}
     out.update(text_oracle.ORACLE)
+    out.update(series_oracle.ORACLE)
     return out

@@ -52,3 +52,30 @@ def user_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = post_records(spark, sf_dir).select("user_id").distinct()
     return (users.select("user_id", hash_bucket(F.col("user_id"), GROUP_BUCKETS).alias("group_id"))
             .where(F.col("group_id") < GROUPS_KEPT))
+
+
+EVENT_SLOTS = 24
+
+
+def event_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean event value per (day, event type, year, hour): one series cell."""
+    ev = read_table(spark, sf_dir, "events")
+    return (ev.select(F.date_format("ts", "yyyy-MM-dd").alias("station"),
+                      F.col("event_type").alias("measurement"), F.year("ts").alias("year"),
+                      F.hour("ts").alias("slot"), "value")
+            .groupBy("station", "measurement", "year", "slot").agg(F.avg("value").alias("v")))
+
+
+def event_series_nested(spark: SparkSession, sf_dir: str, slots: int = EVENT_SLOTS) -> DataFrame:
+    """Nested station records: ``station, years ARRAY<STRUCT<measurement, year, values>>``.
+
+    A day of events stands for a station, an event type for a measurement and
+    the hours of the day for the slots; hours without events are NULL.
+    """
+    cells = event_cells(spark, sf_dir)
+    per_series = (cells.groupBy("station", "measurement", "year")
+                  .agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("m")))
+    values = F.transform(F.sequence(F.lit(0), F.lit(slots - 1)), lambda i: F.try_element_at("m", i))
+    flat = per_series.select("station", "measurement", "year", values.alias("values"))
+    return flat.groupBy("station").agg(
+        F.collect_list(F.struct("measurement", "year", "values")).alias("years"))
