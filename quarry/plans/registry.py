@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from quarry.plans import series_oracle, series_queries, text_oracle, text_queries
+from quarry.plans import ml_oracle, ml_queries, series_oracle, series_queries, text_oracle, text_queries
 
 
 def queries() -> dict:
     out = {}
     out.update(text_queries.QUERIES)
     out.update(series_queries.QUERIES)
+    out.update(ml_queries.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def oracle_sql() -> dict:
     out = {}
     out.update(text_oracle.ORACLE)
     out.update(series_oracle.ORACLE)
+    out.update(ml_oracle.ORACLE)
     return out

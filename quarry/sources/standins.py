@@ -79,3 +79,41 @@ def event_series_nested(spark: SparkSession, sf_dir: str, slots: int = EVENT_SLO
     flat = per_series.select("station", "measurement", "year", values.alias("values"))
     return flat.groupBy("station").agg(
         F.collect_list(F.struct("measurement", "year", "values")).alias("years"))
+
+
+# Stand-in for the particle table: label first, numeric features after it.
+PARTICLE_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber",
+                     "ship_doy", "ship_year"]
+# Stand-in for the regression table: four inputs and three targets.
+REGRESSION_INPUTS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+REGRESSION_TARGETS = ["l_extendedprice", "disc_price", "charge"]
+
+
+def line_key() -> "F.Column":
+    return F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+
+
+def particle_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, label, features...)`` from lineitem; label 1.0 for returned lines."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(line_key().alias("key"),
+                     (F.col("l_returnflag") == "R").cast("double").alias("label"),
+                     "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     F.col("l_linenumber").cast("double").alias("l_linenumber"),
+                     F.dayofyear("l_shipdate").cast("double").alias("ship_doy"),
+                     F.year("l_shipdate").cast("double").alias("ship_year"))
+
+
+def regression_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, inputs..., targets...)`` from lineitem."""
+    li = read_table(spark, sf_dir, "lineitem")
+    disc = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    return li.select(line_key().alias("key"), "l_quantity", "l_discount", "l_tax",
+                     F.col("l_linenumber").cast("double").alias("l_linenumber"), "l_extendedprice",
+                     disc.alias("disc_price"), (disc * (1 + F.col("l_tax"))).alias("charge"))
+
+
+def cover_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(vec_id, label, embedding)``: class code and 64 numeric features."""
+    return read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
