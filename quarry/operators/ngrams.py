@@ -24,10 +24,17 @@ def normalize_sentences(sents: DataFrame, col: str = "sentence") -> DataFrame:
 
 
 def explode_ngrams(sents: DataFrame, ns=(1, 2, 3, 4, 5), col: str = "sentence") -> DataFrame:
-    """``(n, ngram)`` rows for every n in ``ns``; never across sentences."""
-    words = T.ngram_words(F.col(col))
-    with_n = sents.select(words.alias("words"), F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
-    return with_n.select("n", F.explode(T.ngrams(F.col("words"), F.col("n"))).alias("ngram"))
+    """``(n, ngram)`` rows for every n in ``ns``; never across sentences.
+
+    Each word position starts one n-gram per n that fits in the sentence.
+    Only generators, ``slice`` and ``array_join`` are used, all of which run
+    in generated code (no per-element lambdas).
+    """
+    words = sents.select(T.ngram_words(F.col(col)).alias("words"))
+    starts = words.select("words", F.posexplode("words").alias("pos", "w"))
+    with_n = starts.select("words", "pos", F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
+    fits = with_n.where(F.col("pos") + F.col("n") <= F.size("words"))
+    return fits.select("n", F.array_join(F.slice("words", F.col("pos") + 1, F.col("n")), " ").alias("ngram"))
 
 
 def ngram_counts(sents: DataFrame, ns=(1, 2, 3, 4, 5), col: str = "sentence") -> DataFrame:

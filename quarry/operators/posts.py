@@ -2,8 +2,9 @@
 
 Plan (one DAG): parse JSON -> keep posts -> tag each post with its user's
 group (left join, missing users -> group 7) -> tokenize -> unique
-(group, user, token) -> users per token -> keep tokens with enough users ->
-users per (group, token) -> relative popularity -> top k per group.
+(group, user, token) -> users per (group, token) -> users per token as a
+window sum over groups -> keep tokens with enough users -> relative
+popularity -> top k per group.
 
 Shuffles are keyed by (user, token) or token, never by user alone, so one
 very active user cannot pile up in one task; counts are partially
@@ -74,15 +75,28 @@ def top_tokens(kept: DataFrame, k: int = 20) -> DataFrame:
     return kept.orderBy(F.col("n_users").desc(), F.col("token").asc()).limit(k)
 
 
-def group_token_users(utok: DataFrame, kept: DataFrame) -> DataFrame:
-    """``(group_id, token, c_k, c_all)`` for kept tokens.
+def group_token_users(utok: DataFrame, min_users: int = MIN_USERS) -> DataFrame:
+    """``(group_id, token, c_k, c_all)`` for tokens used by at least ``min_users`` users.
 
-    The inner join with the kept tokens is also the semi-join filter; it runs
-    before the (group, token) aggregate so dropped tokens never reach it.
+    Every user belongs to exactly one group, so a token's total number of
+    users is the sum of its per-group counts: ``c_all`` is a window sum over
+    the (group, token) aggregate partitioned by token (at most 8 rows per
+    token). This replaces the join with the kept-token table, so the posts
+    are tokenized once and no token table is broadcast or shuffled twice.
     """
-    kept_small = kept.select("token", F.col("n_users").alias("c_all"))
-    return (utok.join(kept_small, "token", "inner")
-            .groupBy("group_id", "token", "c_all").agg(F.count(F.lit(1)).alias("c_k")))
+    ck = utok.groupBy("group_id", "token").agg(F.count(F.lit(1)).alias("c_k"))
+    c_all = F.sum("c_k").over(Window.partitionBy("token"))
+    return (ck.withColumn("c_all", c_all).where(F.col("c_all") >= min_users)
+            .select("group_id", "token", "c_k", "c_all"))
+
+
+def semi_kept_tokens(utok: DataFrame, kept: DataFrame) -> DataFrame:
+    """Rows of ``utok`` whose token is in ``kept`` (left semi join).
+
+    Spark broadcasts ``kept`` when its size estimate is under the broadcast
+    threshold, or when AQE measures it small at run time.
+    """
+    return utok.join(kept.select("token"), "token", "left_semi")
 
 
 def rel_popularity(c_k, c_all):

@@ -84,6 +84,7 @@ ORACLE = {
     "decode_class": f"SELECT vec_id, label, {DECODE} AS name FROM embeddings",
     "class_distribution": f"SELECT label, count(*) AS cnt, round(100.0 * count(*) / sum(count(*)) OVER (), {D}) AS pct FROM embeddings GROUP BY label ORDER BY cnt DESC, label",
     "classes_sorted": f"SELECT label, count(*) AS cnt, round(100.0 * count(*) / sum(count(*)) OVER (), {D}) AS pct FROM embeddings GROUP BY label ORDER BY cnt DESC, label",
+    "first_rows": "SELECT vec_id, label FROM embeddings ORDER BY vec_id LIMIT 2",
     "to_labeled_last": "SELECT vec_id, CAST(label AS DOUBLE) AS label, CAST(embedding AS DOUBLE[]) AS features FROM embeddings",
     "to_labeled_first": f"SELECT {LINE_KEY} AS key, CAST(l_returnflag = 'R' AS DOUBLE) AS label, {PARTICLE_FEATURES_SQL} AS features FROM lineitem",
     "split_array_column": "SELECT vec_id, " + ", ".join(f"CAST(embedding[{i}] AS DOUBLE) AS e{i}" for i in range(1, 65)) + " FROM embeddings",

@@ -80,6 +80,11 @@ def q_class_distribution(spark, sf_dir):
     return FE.class_distribution(cover_table(spark, sf_dir), "label", DEC)
 
 
+def q_first_rows(spark, sf_dir):
+    """A look at the first two rows (by key) of the class table."""
+    return cover_table(spark, sf_dir).select("vec_id", "label").orderBy("vec_id").limit(2)
+
+
 def q_to_labeled_last(spark, sf_dir):
     c = cover_table(spark, sf_dir)
     lab = c.select("vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))
@@ -310,6 +315,7 @@ QUERIES = {
     "decode_class": q_decode_class,
     "class_distribution": q_class_distribution,
     "classes_sorted": q_class_distribution,
+    "first_rows": q_first_rows,
     "to_labeled_last": q_to_labeled_last,
     "to_labeled_first": q_to_labeled_first,
     "split_array_column": q_split_array_column,

@@ -38,6 +38,7 @@ ORACLE = {
   CAST(sum(CASE WHEN len(vals) = {EVENT_SLOTS} THEN 0 ELSE 1 END) AS BIGINT) AS n_invalid FROM series GROUP BY measurement"""),
     "by_measurement": _w("SELECT measurement, count(*) AS n_series FROM series GROUP BY measurement"),
     "slot_counts": _w("SELECT measurement, slot, count(*) AS ne FROM vals GROUP BY measurement, slot"),
+    "scan_series_stats": _w(f"SELECT measurement, slot, count(*) AS ne, round(avg(value), {D}) AS mean, round(var_pop(value), {D}) AS var FROM vals GROUP BY measurement, slot"),
     "slot_mean_band": _w(f"""SELECT measurement, slot, round(avg(value), {D}) AS mean, round(sqrt(var_pop(value)), {D}) AS std,
   round(avg(value) - sqrt(var_pop(value)), {D}) AS lower, round(avg(value) + sqrt(var_pop(value)), {D}) AS upper
 FROM vals GROUP BY measurement, slot"""),

@@ -42,6 +42,11 @@ def q_slot_counts(spark, sf_dir):
     return S.slot_stats(_valid(spark, sf_dir)).select("measurement", "slot", "ne")
 
 
+def q_scan_series_stats(spark, sf_dir):
+    st = S.slot_stats(_valid(spark, sf_dir))
+    return st.select("measurement", "slot", "ne", r(F.col("mean")).alias("mean"), r(F.col("var")).alias("var"))
+
+
 def q_slot_mean_band(spark, sf_dir):
     b = S.slot_mean_band(S.slot_stats(_valid(spark, sf_dir)))
     return b.select("measurement", "slot", *[r(F.col(c)).alias(c) for c in ("mean", "std", "lower", "upper")])
@@ -139,6 +144,7 @@ QUERIES = {
     "valid_length": q_valid_length,
     "by_measurement": q_by_measurement,
     "slot_counts": q_slot_counts,
+    "scan_series_stats": q_scan_series_stats,
     "slot_mean_band": q_slot_mean_band,
     "scalar_quantiles": q_scalar_quantiles,
     "value_histogram": q_value_histogram,
@@ -149,6 +155,7 @@ QUERIES = {
     "explained_variance": q_explained_variance,
     "top_eigvecs": q_top_eigvecs,
     "project_coeffs": q_project_coeffs,
+    "scan_station_projections": q_project_coeffs,
     "reconstruct": q_reconstruct,
     "reconstruction_error": q_reconstruction_error,
     "drop_nan_error": q_drop_nan_error,

@@ -115,8 +115,13 @@ WHERE rnk <= {Q.TOP_NGRAMS}"""),
     "min_support": _w(POSTS, "SELECT token, n_users FROM kept"),
     "top_tokens": _w(POSTS, f"SELECT token, n_users FROM kept ORDER BY n_users DESC, token ASC LIMIT {Q.TOP_TOKENS}"),
     "group_token_users": _w(POSTS, "SELECT group_id, token, c_k, c_all FROM gtu"),
+    "token_totals": _w(POSTS, "SELECT group_id, token, c_k, c_all FROM gtu"),
+    "semi_kept_tokens": _w(POSTS, "SELECT user_id, group_id, token FROM utok WHERE token IN (SELECT token FROM kept)"),
+    "in_kept_tokens": _w(POSTS, "SELECT user_id, group_id, token FROM utok WHERE token IN (SELECT token FROM kept)"),
     "rel_popularity": _w(POSTS, f"SELECT group_id, token, round(log2(c_k / c_all), {Q.REL_DECIMALS}) AS rel_pop FROM gtu"),
     "top_tokens_per_group": _w(POSTS, f"""SELECT group_id, rnk, token, c_k, c_all, round(log2(c_k / c_all), {Q.REL_DECIMALS}) AS rel_pop FROM (
   SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY c_k / c_all DESC, token ASC) AS rnk FROM gtu)
 WHERE rnk <= {Q.TOP_PER_GROUP}"""),
 }
+ORACLE["by_group"] = ORACLE["top_tokens_per_group"]
+ORACLE["groups_sorted"] = ORACLE["posts_per_group"]

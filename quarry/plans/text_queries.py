@@ -141,8 +141,12 @@ def q_top_tokens(spark, sf_dir):
 
 
 def q_group_token_users(spark, sf_dir):
+    return P.group_token_users(_utok(spark, sf_dir), STANDIN_MIN_USERS)
+
+
+def q_semi_kept_tokens(spark, sf_dir):
     utok = _utok(spark, sf_dir)
-    return P.group_token_users(utok, _kept(utok)).select("group_id", "token", "c_k", "c_all")
+    return P.semi_kept_tokens(utok, _kept(utok)).select("user_id", "group_id", "token")
 
 
 def q_rel_popularity(spark, sf_dir):
@@ -152,8 +156,8 @@ def q_rel_popularity(spark, sf_dir):
 
 
 def q_top_tokens_per_group(spark, sf_dir):
-    utok = _utok(spark, sf_dir)
-    return P.top_tokens_per_group(P.group_token_users(utok, _kept(utok)), TOP_PER_GROUP, REL_DECIMALS)
+    gtu = P.group_token_users(_utok(spark, sf_dir), STANDIN_MIN_USERS)
+    return P.top_tokens_per_group(gtu, TOP_PER_GROUP, REL_DECIMALS)
 
 
 QUERIES = {
@@ -171,6 +175,7 @@ QUERIES = {
     "distinct_users": q_distinct_users,
     "user_to_group": q_user_to_group,
     "posts_per_group": q_posts_per_group,
+    "groups_sorted": q_posts_per_group,
     "unescape_entities": q_unescape_entities,
     "tokenize_posts": q_tokenize_posts,
     "user_tokens": q_user_tokens,
@@ -179,6 +184,10 @@ QUERIES = {
     "min_support": q_min_support,
     "top_tokens": q_top_tokens,
     "group_token_users": q_group_token_users,
+    "semi_kept_tokens": q_semi_kept_tokens,
+    "in_kept_tokens": q_semi_kept_tokens,
+    "token_totals": q_group_token_users,
     "rel_popularity": q_rel_popularity,
     "top_tokens_per_group": q_top_tokens_per_group,
+    "by_group": q_top_tokens_per_group,
 }
