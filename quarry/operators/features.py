@@ -6,6 +6,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quarry.operators.joins import bounded_broadcast
+
 # Class names of the cover-type table, by class code.
 COVER_TYPES = {1: "Spruce/Fir", 2: "Lodgepole Pine", 3: "Ponderosa Pine",
                4: "Cottonwood/Willow", 5: "Aspen", 6: "Douglas-fir", 7: "Krummholz"}
@@ -26,10 +28,13 @@ def class_lookup(spark: SparkSession, names: dict = COVER_TYPES) -> DataFrame:
     return spark.createDataFrame([(int(k), v) for k, v in names.items()], "code int, name string")
 
 
+MAX_CLASSES = 100_000
+
+
 def decode_class(df: DataFrame, label_col: str, lookup: DataFrame) -> DataFrame:
-    """Add the class name; the lookup has a fixed number of rows, so it is broadcast."""
-    return (df.join(F.broadcast(lookup), df[label_col] == lookup["code"], "left")
-            .drop("code"))
+    """Add the class name; the lookup is broadcast after its size is checked."""
+    small = bounded_broadcast(lookup, MAX_CLASSES)
+    return df.join(small, df[label_col] == lookup["code"], "left").drop("code")
 
 
 def class_distribution(df: DataFrame, label_col: str = "label", decimals: int = 6) -> DataFrame:
