@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from quarry.streaming.posts import posts_per_group_stream, start_to_memory
 
@@ -20,10 +21,12 @@ def test_stream_counts(spark):
         with open(os.path.join(d, f"part-{i}.txt"), "w") as f:
             f.write("\n".join(LINES) + "\n")
     groups = spark.createDataFrame([("u1", 0), ("u2", 3)], "user_id string, group_id int")
-    q = start_to_memory(spark, posts_per_group_stream(spark, d, groups), "posts_stream_test")
+    # a stream resumes from its checkpoint, so each test run uses a new name
+    name = f"posts_stream_test_{uuid.uuid4().hex}"
+    q = start_to_memory(spark, posts_per_group_stream(spark, d, groups), name)
     try:
         q.processAllAvailable()
-        got = {r.group_id: r.n_posts for r in spark.sql("SELECT * FROM posts_stream_test").collect()}
+        got = {r.group_id: r.n_posts for r in spark.sql(f"SELECT * FROM {name}").collect()}
     finally:
         q.stop()
     assert got == {0: 2, 3: 2, 7: 2}
