@@ -1,19 +1,26 @@
 """k-means++ with many independent runs advanced together.
 
-Points stay where they are read (persisted once); only the R x K centre
-table moves. Each step ships the centres to the tasks as one constant
-(a JSON literal parsed once by the optimizer: its size is R x K x dim,
-fixed by the parameters, not by the data), takes for every point and run the
-nearest centre with ``array_min`` over (distance, index) structs (ties go to
-the lower index), and reduces with partial aggregation by (run, centre).
-
-Seeding is exact D^2 sampling by an exponential race: point x wins round t
-of run r when it minimises -ln(u)/D2(x), with u a hash uniform of
-(x, r, t, seed); the minimum is a partial aggregate per run.
+Points stay where they are read (persisted once); only small per-task
+partials and the R x K centre table move.
+
+- Seeding is exact D^2 sampling by an exponential race: point x wins round t
+  of run r when it minimises -ln(u)/D2(x), u a hash uniform of
+  (x, r, t, seed). Each task scores its points with numpy on Arrow batches
+  and keeps one candidate per run; the per-run minimum is a partial
+  aggregate (``seed_round_expr`` is the same round in built-in expressions).
+- A Lloyd step assigns every point to the nearest centre of every run with
+  numpy (lowest index on ties) and emits per-(run, centre, dimension) sums,
+  so a task shuffles R x K x dim rows whatever its number of points; the
+  driver receives those sums (size fixed by the parameters) and checks the
+  shift.
+- Labels and costs for a final set of centres use built-in array
+  expressions (``assign``): the centres travel as one constant column of size
+  R x K x dim, parsed once by the optimizer.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
 
@@ -24,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.hashing import hash_uniform
+from quarry.functions.hashing import HEX_DIGITS, SCALE, hash_uniform
 from quarry.functions.vectors import sq_dist
 
 CENTRES_TYPE = "array<array<array<double>>>"
@@ -46,12 +53,79 @@ def _min_d2(vec: Column, centres: Column) -> Column:
     return F.transform(centres, lambda cs: F.array_min(F.transform(cs, lambda c: sq_dist(vec, c))))
 
 
+_SEED_SCHEMA = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("key", T.DoubleType()),
+                             T.StructField("u", T.DoubleType()), T.StructField("id", T.LongType()),
+                             T.StructField("vec", T.ArrayType(T.DoubleType()))])
+CHUNK = 512   # rows per distance block: CHUNK x (R x t) x dim doubles at most
+
+
+def _u_np(ids, run: int, t: int, seed: int) -> np.ndarray:
+    """Same draw as hash_uniform(id, run, t, seed), computed in the task."""
+    out = np.empty(len(ids))
+    for i, x in enumerate(ids):
+        h = hashlib.md5(f"{x}|{run}|{t}|{seed}".encode()).hexdigest()
+        out[i] = int(h[:HEX_DIGITS], 16) / SCALE
+    return out
+
+
+def _sq_dists(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Squared distances (rows of x) x (rows of c), from differences, in chunks."""
+    out = np.empty((len(x), len(c)))
+    for lo in range(0, len(x), CHUNK):
+        d = x[lo:lo + CHUNK, None, :] - c[None, :, :]
+        out[lo:lo + CHUNK] = np.einsum("ijk,ijk->ij", d, d)
+    return out
+
+
 def seed_round(points: DataFrame, chosen: list | None, runs: int, t: int, seed: int,
                id_col: str = "id", vec_col: str = "vec") -> DataFrame:
     """Round t (0-based) of the seeding: ``(run, id, vec)`` of each run's pick.
 
-    Each point's distances to the centres chosen so far are computed once for
-    all runs, then the point is exploded over runs to score its race key.
+    Each task scores its points for every run (distance to the run's nearest
+    chosen centre, race key -ln(u)/D2, u a hash of (id, run, t, seed)) and
+    keeps only its best candidate per run; the per-run minimum over tasks is
+    a partial aggregate, so R rows per task are shuffled.
+    """
+    cs = np.asarray(chosen, dtype="float64") if (t and chosen) else None   # R x t x dim
+
+    def best(batches):
+        top: dict[int, tuple] = {}
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            ids = pdf[id_col].to_numpy()
+            x = np.stack([np.asarray(v, dtype="float64") for v in pdf[vec_col]])
+            d2 = None if cs is None else _sq_dists(x, cs.reshape(-1, cs.shape[2])).reshape(len(x), runs, -1).min(axis=2)
+            for r in range(runs):
+                u = _u_np(ids, r, t, seed)
+                if d2 is None:
+                    key = u
+                else:
+                    with np.errstate(divide="ignore"):
+                        key = np.where(d2[:, r] > 0, -np.log(u) / np.where(d2[:, r] > 0, d2[:, r], 1.0), np.inf)
+                order = np.lexsort((ids, u, key))
+                i = order[0]
+                cand = (float(key[i]), float(u[i]), int(ids[i]), x[i])
+                if r not in top or cand[:3] < top[r][:3]:
+                    top[r] = cand
+        if top:
+            yield pd.DataFrame({"run": np.array(list(top), dtype="int32"),
+                                "key": [v[0] for v in top.values()], "u": [v[1] for v in top.values()],
+                                "id": np.array([v[2] for v in top.values()], dtype="int64"),
+                                "vec": [v[3].tolist() for v in top.values()]})
+
+    cands = points.select(id_col, vec_col).mapInPandas(best, _SEED_SCHEMA)
+    return (cands.groupBy("run")
+            .agg(F.min_by(F.struct("id", "vec"), F.struct("key", "u", "id")).alias("pick"))
+            .select("run", F.col("pick.id").alias("id"), F.col("pick.vec").alias("vec")))
+
+
+def seed_round_expr(points: DataFrame, chosen: list | None, runs: int, t: int, seed: int,
+                    id_col: str = "id", vec_col: str = "vec") -> DataFrame:
+    """The same round written with built-in expressions only (reference form).
+
+    Gives the same picks as ``seed_round``; slower, because Spark evaluates
+    the array lambdas row by row without generated code.
     """
     if t == 0 or not chosen:
         per_point = points.select(id_col, vec_col, F.sequence(F.lit(0), F.lit(runs - 1)).alias("runs"))
@@ -107,8 +181,8 @@ _PARTIAL = T.StructType([T.StructField("run", T.IntegerType()), T.StructField("j
                          T.StructField("s", T.DoubleType())])
 
 
-def lloyd_step(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFrame:
-    """One Lloyd step for all runs: ``(run, j, n, center)``.
+def lloyd_sums(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFrame:
+    """Per (run, centre, dimension): points assigned and their coordinate sum.
 
     Each task assigns its points to the nearest centre of every run with
     numpy on Arrow batches (all R x K distances as one matrix product) and
@@ -121,15 +195,13 @@ def lloyd_step(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFr
 
     def partials(batches):
         flat = cs.reshape(runs * k, dim)
-        cn = (flat * flat).sum(axis=1)
         cnt = np.zeros((runs, k), dtype="int64")
         sums = np.zeros((runs, k, dim))
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             x = np.stack([np.asarray(v, dtype="float64") for v in pdf[vec_col]])
-            d2 = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ flat.T) + cn[None, :]
-            lab = d2.reshape(len(x), runs, k).argmin(axis=2)            # n x R
+            lab = _sq_dists(x, flat).reshape(len(x), runs, k).argmin(axis=2)   # n x R, lowest j on ties
             for r in range(runs):
                 np.add.at(cnt[r], lab[:, r], 1)
                 np.add.at(sums[r], lab[:, r], x)
@@ -141,16 +213,21 @@ def lloyd_step(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFr
                                 "n": np.repeat(cnt[rr, jj], dim), "s": sums[rr, jj].ravel()})
 
     p = points.select(vec_col).mapInPandas(partials, _PARTIAL)
-    agg = p.groupBy("run", "j", "d").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+    return p.groupBy("run", "j", "d").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
+
+
+def lloyd_step(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFrame:
+    """One Lloyd step for all runs: ``(run, j, n, center)`` (see ``lloyd_sums``)."""
+    agg = lloyd_sums(points, centres, vec_col)
     return (agg.groupBy("run", "j")
             .agg(F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("d", (F.col("s") / F.col("n")).alias("m")))).alias("dm"))
             .select("run", "j", "n", F.transform("dm", lambda e: e["m"]).alias("center")))
 
 
-def _collect_centres(upd: DataFrame, old: list) -> list:
+def _collect_centres(sums: DataFrame, old: list) -> list:
     new = [[list(c) for c in run] for run in old]
-    for row in upd.collect():   # R x K rows at most
-        new[row.run][row.j] = [float(x) for x in row.center]
+    for row in sums.collect():   # R x K x dim rows at most: fixed by the parameters
+        new[row.run][row.j][row.d] = float(row.s) / float(row.n)
     return new   # a centre that lost all its points keeps its place
 
 
@@ -173,7 +250,7 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
         centres, ids = kmeanspp_seed(pts, k, runs, seed, id_col, vec_col)
         shifts = []
         for _ in range(max_iter):
-            new = _collect_centres(lloyd_step(pts, centres, vec_col), centres)
+            new = _collect_centres(lloyd_sums(pts, centres, vec_col), centres)
             shifts.append(max_shift(centres, new))
             centres = new
             if shifts[-1] <= converge_dist:

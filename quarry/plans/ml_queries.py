@@ -15,6 +15,7 @@ from quarry.operators import sampling as SA
 from quarry.operators import series as S
 from quarry.operators import trees as TR
 from quarry.session import ensure_checkpoint_dir
+from quarry.sources.tables import spread
 from quarry.sources.standins import (EVENT_SLOTS, PARTICLE_FEATURES, REGRESSION_INPUTS,
                                      REGRESSION_TARGETS, cover_table, event_series_nested,
                                      particle_table, regression_table)
@@ -234,14 +235,14 @@ def q_kmeans_best(spark, sf_dir):
 # ---- trees ------------------------------------------------------------------------
 
 def _cover_split(spark, sf_dir):
-    c = cover_table(spark, sf_dir)
+    c = spread(cover_table(spark, sf_dir))
     d = c.select("vec_id", FE.binarize_class(F.col("label"), COVER_CLASS).alias("label"),
                  array_to_vector("embedding").alias("features"))
     return SA.split_by_weights(d, "vec_id", SPLIT_WEIGHTS)
 
 
 def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test")):
-    p = SA.sample_fraction(particle_table(spark, sf_dir), "key", SAMPLE_FRACTION)
+    p = spread(SA.sample_fraction(particle_table(spark, sf_dir), "key", SAMPLE_FRACTION))
     lab = FE.to_labeled(p.withColumn("label", FE.binarize_threshold(F.col("label"))), F.col("label"), PARTICLE_FEATURES)
     return SA.split_by_weights(lab, "key", weights, names)
 

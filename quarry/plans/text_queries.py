@@ -10,7 +10,7 @@ from quarry.operators import ngrams as NG
 from quarry.operators import posts as P
 from quarry.sources.json import parse_json_records, scan_json_records, is_post
 from quarry.sources.standins import post_json_lines, user_groups
-from quarry.sources.tables import read_table
+from quarry.sources.tables import read_table, spread
 
 NGRAM_NS = (1, 2, 3, 4, 5)
 TOP_NGRAMS = 5
@@ -25,7 +25,8 @@ REL_DECIMALS = 10
 # ---- n-grams over documents.text -------------------------------------------
 
 def _sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return NG.corpus_sentences(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return NG.corpus_sentences(spread(docs))
 
 
 def q_scan_paragraphs(spark, sf_dir):
@@ -60,7 +61,7 @@ def q_top_ngrams(spark, sf_dir):
 # ---- posts -------------------------------------------------------------------
 
 def _posts(spark, sf_dir):
-    return scan_json_records(post_json_lines(spark, sf_dir))
+    return scan_json_records(spread(post_json_lines(spark, sf_dir)))
 
 
 def _posts_grouped(spark, sf_dir):

@@ -23,3 +23,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition when a scan has fewer partitions than the cluster.
+
+    Used before CPU-heavy per-row work (sentence splitting, tokenizing). A
+    large table already arrives in many splits and is returned unchanged; a
+    small file with one row group would otherwise be processed by one task.
+    Only the partition count of the planned scan is looked at (no job runs).
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -53,3 +53,26 @@ def test_hash_split_is_deterministic(spark):
     a = SA.split_by_weights(df, "k").where(F.col("split") == "train").count()
     b = SA.split_by_weights(df, "k").where(F.col("split") == "train").count()
     assert a == b and 600 < a < 800
+
+
+def test_numpy_and_expression_seeding_agree(spark):
+    rng = np.random.default_rng(5)
+    pts = np.vstack([rng.normal(size=(40, 3)), np.ones((5, 3))])   # with duplicates
+    df = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(pts)], "id long, vec array<double>")
+    chosen = [[list(map(float, pts[0]))], [list(map(float, pts[40]))], [list(map(float, pts[7]))]]
+    for t, ch in ((0, None), (1, chosen)):
+        a = {r.run: r.id for r in C.seed_round(df, ch, 3, t, 99).collect()}
+        b = {r.run: r.id for r in C.seed_round_expr(df, ch, 3, t, 99).collect()}
+        assert a == b
+
+
+def test_lloyd_step_matches_expression_update(spark):
+    rng = np.random.default_rng(9)
+    pts = rng.normal(size=(60, 4))
+    df = spark.createDataFrame([(i, list(map(float, p))) for i, p in enumerate(pts)], "id long, vec array<double>")
+    centres = [[list(map(float, pts[i])) for i in (0, 1, 2)], [list(map(float, pts[i])) for i in (3, 4, 5)]]
+    a = {(r.run, r.j): (r.n, np.array(r.center)) for r in C.lloyd_step(df, centres).collect()}
+    b = {(r.run, r.j): (r.n, np.array(r.center)) for r in C.center_update(C.assign(df, centres), 4).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k][0] == b[k][0] and np.allclose(a[k][1], b[k][1])
