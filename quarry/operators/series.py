@@ -27,10 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.vectors import nan_to_null
-from quarry.operators.joins import bounded_broadcast
 
 SERIES_KEYS = ["station", "measurement", "year"]
-MAX_MEASUREMENTS = 10_000   # bound checked before the per-measurement tables are broadcast
 QUANTILE_ACCURACY = 1_000_000
 
 
@@ -102,7 +100,9 @@ def value_histogram(series: DataFrame, scalars: DataFrame, bins: int = 100) -> D
 
     Bin b covers [lo + b*w, lo + (b+1)*w); the upper end falls in the last bin.
     """
-    lims = bounded_broadcast(scalars.select("measurement", "low100", "high100"), MAX_MEASUREMENTS)
+    # One row per measurement, produced by an aggregate: AQE sees its real
+    # size when that stage ends and broadcasts it (no extra pass to count it).
+    lims = scalars.select("measurement", "low100", "high100")
     v = slot_values(series).join(lims, "measurement")
     v = v.where(F.col("value").between(F.col("low100"), F.col("high100")))
     width = F.col("high100") - F.col("low100")
@@ -235,7 +235,8 @@ def _model(stats: DataFrame, basis: DataFrame, k: int) -> DataFrame:
     vecs = (basis.where(F.col("k") <= k).groupBy("measurement")
             .agg(F.sort_array(F.collect_list(F.struct("k", "eigvec"))).alias("kv"))
             .select("measurement", F.transform("kv", lambda e: e["eigvec"]).alias("eigvecs")))
-    return bounded_broadcast(mean.join(vecs, "measurement"), MAX_MEASUREMENTS)
+    # one row per measurement from aggregates; broadcast by AQE from its runtime size
+    return mean.join(vecs, "measurement")
 
 
 def project_coeffs(series: DataFrame, stats: DataFrame, basis: DataFrame, k: int = 3) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import series as S
-from quarry.operators.joins import bounded_broadcast
 from quarry.sources.standins import EVENT_SLOTS, event_series_nested
 
 DEC = 6
@@ -67,7 +66,7 @@ def q_value_histogram(spark, sf_dir):
 def q_in_range_not_nan(spark, sf_dir):
     s = _valid(spark, sf_dir)
     lims = S.scalar_stats(s).select("measurement", "low100", "high100")
-    v = S.slot_values(s).join(bounded_broadcast(lims, S.MAX_MEASUREMENTS), "measurement")
+    v = S.slot_values(s).join(lims, "measurement")
     return (v.where(F.col("value").between(F.col("low100"), F.col("high100")))
             .groupBy("measurement").agg(F.count(F.lit(1)).alias("n_in_range")))
 
