@@ -53,6 +53,8 @@ WHERE v.value BETWEEN s.low100 AND s.high100 GROUP BY v.measurement"""),
   SELECT station, var_pop(n) AS count_var FROM (
     SELECT station, slot, sum(CASE WHEN v IS NOT NULL THEN 1 ELSE 0 END) AS n FROM grid GROUP BY station, slot)
   GROUP BY station) WHERE count_var > {Q.UNEVEN_THRESHOLD}"""),
+    "drop_nan_error": _w(f"""SELECT measurement, count(*) AS n_kept FROM series
+WHERE len(vals) = {EVENT_SLOTS} AND len(list_filter(vals, lambda x: x IS NULL OR isnan(x))) = 0 GROUP BY measurement"""),
     "series_covariance": _w(f"""SELECT a.measurement, a.slot AS i, b.slot AS j, count(*) AS n,
   round(sum(a.value * b.value) / count(*) - (sum(a.value) / count(*)) * (sum(b.value) / count(*)), {D}) AS cov
 FROM vals a JOIN vals b ON a.station = b.station AND a.measurement = b.measurement AND a.year = b.year

@@ -76,3 +76,14 @@ def test_lloyd_step_matches_expression_update(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k][0] == b[k][0] and np.allclose(a[k][1], b[k][1])
+
+
+def test_ties_go_to_lower_index_and_empty_centre_stays(spark):
+    df = spark.createDataFrame([(0, [0.0]), (1, [2.0])], "id long, vec array<double>")
+    centres = [[[1.0], [1.0], [100.0]]]      # centres 0 and 1 equidistant; 2 gets no point
+    lab = C.kmeans_assign(df, centres).collect()
+    assert all(r.labels == [0] for r in lab)
+    upd = {r.j: r for r in C.lloyd_step(df, centres).collect()}
+    assert set(upd) == {0} and upd[0].n == 2
+    new = C._collect_centres(C.lloyd_sums(df, centres), centres)
+    assert new[0][0] == [1.0] and new[0][1] == [1.0] and new[0][2] == [100.0]

@@ -58,3 +58,19 @@ def test_unknown_and_out_of_range_entities_stay(spark):
 
 def test_ellipsis_is_one_token(spark):
     assert one(spark, T.tokenize, "wait…") == ["wait", "…"]
+
+
+def test_tokens_cover_every_non_blank_character(spark):
+    """Property: the tokens, blanks removed, spell the text, blanks removed."""
+    import random
+    rnd = random.Random(17)
+    alphabet = list("abcXYZ019 .,;:!?'-_#@()<>/=&*[]{}|\\\"\n\t") + ["é", "ß", "…", "ç", "8"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(300)]
+    texts = [t.replace("&", "") for t in texts]   # entities change the text; tested separately
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select("s", T.tokenize(F.col("s")).alias("t")).collect()
+    blank = set(" \n\t")
+    for r in got:
+        joined = "".join(r.t)
+        assert "".join(ch for ch in joined if ch not in blank).lower() == \
+            "".join(ch for ch in r.s if ch not in blank).lower(), r.s
