@@ -41,14 +41,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting names a shared file system folder and is used
     as is. Only when it is unset (local tests) is a scratch folder made.
     """
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    path = tempfile.mkdtemp(prefix="quarry-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
+    path = tempfile.mkdtemp(prefix="quarry-ckpt-")   # local tests only
     spark.sparkContext.setCheckpointDir(path)
-    return path
+    return spark.sparkContext.getCheckpointDir() or path
+
+
+def stable_checkpoint_base(spark: SparkSession) -> str:
+    """The configured shared folder itself (same for every application).
+
+    Streaming queries keep their state and progress here so that a restarted
+    application resumes them; ``ensure_checkpoint_dir`` is per application.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or ensure_checkpoint_dir(spark)

@@ -31,7 +31,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Used before CPU-heavy per-row work (sentence splitting, tokenizing). A
     large table already arrives in many splits and is returned unchanged; a
     small file with one row group would otherwise be processed by one task.
-    Only the partition count of the planned scan is looked at (no job runs).
+    Meant for scans and narrow transformations of them: only the partition
+    count of the planned scan is looked at, so no job runs (below a shuffle
+    the adaptive plan would have to run its stages first).
     """
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:

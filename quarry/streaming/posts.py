@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quarry.operators.posts import user_to_group
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import stable_checkpoint_base
 from quarry.sources.json import scan_json_records
 
 
@@ -28,7 +28,11 @@ def posts_per_group_stream(spark: SparkSession, lines_dir: str, groups: DataFram
 
 
 def start_to_memory(spark: SparkSession, counts: DataFrame, name: str) -> StreamingQuery:
-    """Run the counts into an in-memory table ``name`` (complete mode)."""
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    """Run the counts into an in-memory table ``name`` (complete mode).
+
+    The checkpoint is ``<spark.checkpoint.dir>/streams/<name>``: a query
+    started again under the same name resumes from it.
+    """
+    ckpt = os.path.join(stable_checkpoint_base(spark), "streams", name)
     return (counts.writeStream.outputMode("complete").format("memory").queryName(name)
             .option("checkpointLocation", ckpt).start())
