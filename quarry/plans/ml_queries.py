@@ -28,6 +28,7 @@ SPLIT_WEIGHTS = (0.7, 0.3)
 K, RUNS, KMEANS_SEED, CONVERGE = 5, 25, 60295531, 0.1
 MAX_ITER = 100
 SWEEP_DEPTHS = (1, 3, 6)
+SWEEP_PARALLELISM = 3    # depths fitted at once; each fit of the stand-in is small
 MODEL_GRID = ((3, 0.5), (6, 0.3), (6, 0.5))
 DERIVE_PAIR = ("click", "view")        # stand-ins for the two temperature series
 CONCAT_MEASUREMENTS = ("click", "view", "purchase")
@@ -280,8 +281,8 @@ def q_mismatched(spark, sf_dir):
 
 def _sweep(spark, sf_dir):
     d = _cover_split(spark, sf_dir)
-    g = TR.depth_sweep(spark, d, "gbt", SWEEP_DEPTHS, max_bins=20)
-    f = TR.depth_sweep(spark, d, "rf", SWEEP_DEPTHS, max_bins=10)
+    g = TR.depth_sweep(spark, d, "gbt", SWEEP_DEPTHS, parallelism=SWEEP_PARALLELISM, max_bins=20)
+    f = TR.depth_sweep(spark, d, "rf", SWEEP_DEPTHS, parallelism=SWEEP_PARALLELISM, max_bins=10)
     return g.unionByName(f)
 
 
