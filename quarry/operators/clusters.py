@@ -20,7 +20,6 @@ partials and the R x K centre table move.
 
 from __future__ import annotations
 
-import hashlib
 import json
 import math
 
@@ -31,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.functions.hashing import HEX_DIGITS, SCALE, hash_uniform
+from quarry.functions.hashing import hash_uniform
 from quarry.functions.vectors import sq_dist
 
 CENTRES_TYPE = "array<array<array<double>>>"
@@ -59,15 +58,6 @@ _SEED_SCHEMA = T.StructType([T.StructField("run", T.IntegerType()), T.StructFiel
 CHUNK = 512   # rows per distance block: CHUNK x (R x t) x dim doubles at most
 
 
-def _u_np(ids, run: int, t: int, seed: int) -> np.ndarray:
-    """Same draw as hash_uniform(id, run, t, seed), computed in the task."""
-    out = np.empty(len(ids))
-    for i, x in enumerate(ids):
-        h = hashlib.md5(f"{x}|{run}|{t}|{seed}".encode()).hexdigest()
-        out[i] = int(h[:HEX_DIGITS], 16) / SCALE
-    return out
-
-
 def _sq_dists(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Squared distances (rows of x) x (rows of c), from differences, in chunks."""
     out = np.empty((len(x), len(c)))
@@ -82,8 +72,8 @@ def seed_round(points: DataFrame, chosen: list | None, runs: int, t: int, seed:
     """Round t (0-based) of the seeding: ``(run, id, vec)`` of each run's pick.
 
     Each task scores its points for every run (distance to the run's nearest
-    chosen centre, race key -ln(u)/D2, u a hash of (id, run, t, seed)) and
-    keeps only its best candidate per run; the per-run minimum over tasks is
+    chosen centre, race key -ln(u)/D2, u the md5 draw of (id, run, t, seed)
+    computed in the JVM) and keeps only its best candidate per run; the per-run minimum over tasks is
     a partial aggregate, so R rows per task are shuffled.
     """
     cs = np.asarray(chosen, dtype="float64") if (t and chosen) else None   # R x t x dim
@@ -95,9 +85,10 @@ def seed_round(points: DataFrame, chosen: list | None, runs: int, t: int, seed:
                 continue
             ids = pdf[id_col].to_numpy()
             x = np.stack([np.asarray(v, dtype="float64") for v in pdf[vec_col]])
+            us = np.stack([np.asarray(v, dtype="float64") for v in pdf["us"]])   # n x R draws
             d2 = None if cs is None else _sq_dists(x, cs.reshape(-1, cs.shape[2])).reshape(len(x), runs, -1).min(axis=2)
             for r in range(runs):
-                u = _u_np(ids, r, t, seed)
+                u = us[:, r]
                 if d2 is None:
                     key = u
                 else:
@@ -114,7 +105,10 @@ def seed_round(points: DataFrame, chosen: list | None, runs: int, t: int, seed:
                                 "id": np.array([v[2] for v in top.values()], dtype="int64"),
                                 "vec": [v[3].tolist() for v in top.values()]})
 
-    cands = points.select(id_col, vec_col).mapInPandas(best, _SEED_SCHEMA)
+    # the draws are md5 hashes computed in the JVM, one per run, same as hash_uniform
+    us = F.transform(F.sequence(F.lit(0), F.lit(runs - 1)),
+                     lambda r: hash_uniform(F.col(id_col), r, F.lit(t), F.lit(seed)))
+    cands = points.select(id_col, vec_col, us.alias("us")).mapInPandas(best, _SEED_SCHEMA)
     return (cands.groupBy("run")
             .agg(F.min_by(F.struct("id", "vec"), F.struct("key", "u", "id")).alias("pick"))
             .select("run", F.col("pick.id").alias("id"), F.col("pick.vec").alias("vec")))
@@ -185,10 +179,10 @@ def lloyd_sums(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFr
     """Per (run, centre, dimension): points assigned and their coordinate sum.
 
     Each task assigns its points to the nearest centre of every run with
-    numpy on Arrow batches (all R x K distances as one matrix product) and
-    emits only per-(run, centre, dimension) partial sums, so the shuffle
-    carries R x K x dim rows per task whatever the number of points.
-    Ties go to the lower centre index.
+    numpy on Arrow batches (squared distances from differences, lowest index
+    on ties), sums them with one one-hot matrix product per batch, and emits
+    only per-(run, centre, dimension) partial sums, so the shuffle carries
+    R x K x dim rows per task whatever the number of points.
     """
     cs = np.asarray(centres, dtype="float64")          # R x K x dim
     runs, k, dim = cs.shape
@@ -202,9 +196,11 @@ def lloyd_sums(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFr
                 continue
             x = np.stack([np.asarray(v, dtype="float64") for v in pdf[vec_col]])
             lab = _sq_dists(x, flat).reshape(len(x), runs, k).argmin(axis=2)   # n x R, lowest j on ties
-            for r in range(runs):
-                np.add.at(cnt[r], lab[:, r], 1)
-                np.add.at(sums[r], lab[:, r], x)
+            # one-hot (n x R*K) of the chosen centre of every run: one BLAS product gives all sums
+            onehot = np.zeros((len(x), runs * k))
+            onehot[np.arange(len(x))[:, None], np.arange(runs)[None, :] * k + lab] = 1.0
+            cnt += onehot.sum(axis=0).astype("int64").reshape(runs, k)
+            sums += (onehot.T @ x).reshape(runs, k, dim)
         rr, jj = np.nonzero(cnt)
         if len(rr):
             dd = np.arange(dim)
