@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from quarry.functions.hashing import hash_uniform
 from quarry.functions.vectors import sq_dist
+from quarry.session import local_frame
 
 CENTRES_TYPE = "array<array<array<double>>>"
 
@@ -154,7 +155,7 @@ def kmeanspp_seed(points: DataFrame, k: int, runs: int, seed: int,
 
 def seeds_frame(spark: SparkSession, ids: list, centres: list) -> DataFrame:
     rows = [(r, j, ids[r][j], centres[r][j]) for r in range(len(ids)) for j in range(len(ids[r]))]
-    return spark.createDataFrame(rows, "run int, j int, id long, center array<double>")
+    return local_frame(spark, rows, "run int, j int, id long, center array<double>")
 
 
 def assign(points: DataFrame, centres: list, vec_col: str = "vec") -> DataFrame:
@@ -258,7 +259,7 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
 
 def centres_frame(spark: SparkSession, centres: list) -> DataFrame:
     rows = [(r, j, c) for r, run in enumerate(centres) for j, c in enumerate(run)]
-    return spark.createDataFrame(rows, "run int, j int, center array<double>")
+    return local_frame(spark, rows, "run int, j int, center array<double>")
 
 
 def kmeans_assign(points: DataFrame, centres: list, id_col: str = "id", vec_col: str = "vec") -> DataFrame:

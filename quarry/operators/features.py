@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.joins import bounded_broadcast
+from quarry.session import local_frame
 
 # Class names of the cover-type table, by class code.
 COVER_TYPES = {1: "Spruce/Fir", 2: "Lodgepole Pine", 3: "Ponderosa Pine",
@@ -25,7 +26,7 @@ def binarize_threshold(value: Column, threshold: float = 0.5) -> Column:
 
 def class_lookup(spark: SparkSession, names: dict = COVER_TYPES) -> DataFrame:
     """Small fixed lookup table ``(code, name)``."""
-    return spark.createDataFrame([(int(k), v) for k, v in names.items()], "code int, name string")
+    return local_frame(spark, [(int(k), v) for k, v in names.items()], "code int, name string")
 
 
 MAX_CLASSES = 100_000

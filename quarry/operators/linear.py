@@ -15,6 +15,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import local_frame
+
 
 def gram_sums(df: DataFrame, inputs: list[str], targets: list[str], split_col: str = "split") -> dict:
     """``{split: {"xx": (p+1, p+1), "xy": (p+1, t), "yy": (t,), "n": float}}``."""
@@ -88,7 +90,7 @@ def linreg(spark: SparkSession, df: DataFrame, inputs: list[str], targets: list[
     gram = gram_sums(df, inputs, targets, split_col)
     coefs, scores, abl = fit_all(gram, inputs, targets)
     return {
-        "coefficients": spark.createDataFrame(coefs, "target string, feature string, coef double"),
-        "scores": spark.createDataFrame(scores, "target string, r2_train double, r2_test double"),
-        "ablation": spark.createDataFrame(abl, "target string, removed string, drop_train double, drop_test double"),
+        "coefficients": local_frame(spark, coefs, "target string, feature string, coef double"),
+        "scores": local_frame(spark, scores, "target string, r2_train double, r2_test double"),
+        "ablation": local_frame(spark, abl, "target string, removed string, drop_train double, drop_test double"),
     }

@@ -14,7 +14,7 @@ from quarry.operators import linear as L
 from quarry.operators import sampling as SA
 from quarry.operators import series as S
 from quarry.operators import trees as TR
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import ensure_checkpoint_dir, local_frame
 from quarry.sources.tables import spread
 from quarry.sources.standins import (EVENT_SLOTS, PARTICLE_FEATURES, REGRESSION_INPUTS,
                                      REGRESSION_TARGETS, cover_table, event_series_nested,
@@ -133,7 +133,7 @@ def q_derive_measurements(spark, sf_dir):
 # ---- regression ---------------------------------------------------------------
 
 def _linreg(spark, sf_dir):
-    d = SA.split_half(regression_table(spark, sf_dir), "key")
+    d = SA.split_half(spread(regression_table(spark, sf_dir)), "key")
     return L.linreg(spark, d, REGRESSION_INPUTS, REGRESSION_TARGETS)
 
 
@@ -200,7 +200,7 @@ def q_kmeans_multi(spark, sf_dir):
 
 def q_max_shift(spark, sf_dir):
     res = _kmeans(spark, sf_dir)
-    return spark.createDataFrame([(i + 1, float(s)) for i, s in enumerate(res["shifts"])], "iteration int, max_shift double")
+    return local_frame(spark, [(i + 1, float(s)) for i, s in enumerate(res["shifts"])], "iteration int, max_shift double")
 
 
 def _labels(spark, sf_dir):

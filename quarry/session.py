@@ -61,3 +61,17 @@ def stable_checkpoint_base(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     return configured or ensure_checkpoint_dir(spark)
+
+
+def local_frame(spark: SparkSession, rows: list, schema: str):
+    """A DataFrame of a few driver-side result rows (bounded by parameters).
+
+    Built from pandas through Arrow, so it is a local relation: running it
+    needs no Python worker and no parallelized RDD.
+    """
+    import pandas as pd
+    from pyspark.sql.types import _parse_datatype_string
+
+    st = _parse_datatype_string(schema)
+    pdf = pd.DataFrame(rows, columns=[f.name for f in st.fields])
+    return spark.createDataFrame(pdf, st)
