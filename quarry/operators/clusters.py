@@ -25,14 +25,13 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.hashing import hash_uniform
 from quarry.functions.vectors import sq_dist
-from quarry.session import local_frame
+from quarry.session import local_frame, persisted
 
 CENTRES_TYPE = "array<array<array<double>>>"
 
@@ -240,9 +239,8 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
 
     At least one step is always made. Returns centres, iterations and shifts.
     """
-    pts = points.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col)) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    pts = points.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col))
+    with persisted(pts) as pts:
         dim = len(pts.select(vec_col).first()[0])
         centres, ids = kmeanspp_seed(pts, k, runs, seed, id_col, vec_col)
         shifts = []
@@ -253,8 +251,6 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
             if shifts[-1] <= converge_dist:
                 break
         return {"centres": centres, "seed_ids": ids, "iterations": len(shifts), "shifts": shifts, "dim": dim}
-    finally:
-        pts.unpersist()
 
 
 def centres_frame(spark: SparkSession, centres: list) -> DataFrame:

@@ -75,3 +75,22 @@ def local_frame(spark: SparkSession, rows: list, schema: str):
     st = _parse_datatype_string(schema)
     pdf = pd.DataFrame(rows, columns=[f.name for f in st.fields])
     return spark.createDataFrame(pdf, st)
+
+
+class persisted:
+    """Keep a frame that several actions reuse; always released afterwards.
+
+    ``with persisted(df) as d: ...`` persists with MEMORY_AND_DISK (a lost
+    block is rebuilt from lineage) and unpersists when the block ends.
+    """
+
+    def __init__(self, df):
+        from pyspark import StorageLevel
+        self.df = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def __enter__(self):
+        return self.df
+
+    def __exit__(self, *exc):
+        self.df.unpersist()
+        return False

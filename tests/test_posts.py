@@ -40,3 +40,28 @@ def test_group_default_and_popularity(spark):
     got = {(r.group_id, r.token): r.rel_pop for r in top}
     assert math.isclose(got[(0, "go")], math.log2(1 / 2))
     assert (1, "team") not in got            # absent, not -inf
+
+
+def test_posts_job_from_manifest_files(spark):
+    """Manifest -> line files -> posts -> groups -> top tokens, as the reference runs it."""
+    import os
+    import tempfile
+
+    from quarry.sources.text import scan_manifest_lines
+
+    d = tempfile.mkdtemp(prefix="quarry-posts-")
+    paths = []
+    for i, chunk in enumerate((LINES[:5], LINES[5:])):
+        fp = os.path.join(d, f"tweets-{i}.txt")
+        with open(fp, "w") as f:
+            f.write("\n".join(chunk) + "\n")
+        paths.append(fp)
+    man = os.path.join(d, "files.txt")
+    with open(man, "w") as f:
+        f.write("\n".join(p + "  " for p in paths) + "\n")
+    lines = scan_manifest_lines(spark, man)
+    assert lines.count() == len(LINES)
+    groups = spark.createDataFrame([("u1", 0), ("u2", 1)], "user_id string, group_id int")
+    pg = P.user_to_group(scan_json_records(lines), groups)
+    top = P.top_tokens_per_group(P.group_token_users(P.user_tokens(pg), 2), 10).collect()
+    assert {(r.group_id, r.token) for r in top} == {(0, "go"), (0, "team"), (1, "go"), (7, "team")}
