@@ -145,18 +145,20 @@ def unescape_entities(text: Column) -> Column:
     step1 = F.array_join(F.transform(pieces, decode_numeric), "")
     step1 = F.when(F.instr(text, "&#") > 0, step1).otherwise(text)
 
-    # 2. named entities other than &amp;
+    # 2. named entities other than &amp;. The reference touches named entities
+    # only when the text holds one besides &amp;; then every known one becomes
+    # its character and every &amp; becomes " and ". Only entity pieces are
+    # looked up (a literal map is searched key by key).
     table = named_entity_table()
     entity_map = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
-    pieces2 = F.regexp_extract_all(step1, F.lit(f"{NAMED_ENTITY_REGEX}|&|[^&]+"), 0)
-    step2 = F.array_join(
-        F.transform(pieces2, lambda p: F.coalesce(F.element_at(entity_map, p), p)), "")
-    # 3. "&amp;" -> " and ", only when some other named entity was present
     others = F.exists(F.regexp_extract_all(step1, F.lit(NAMED_ENTITY_REGEX), 0),
                       lambda e: e != F.lit(AMP_ENTITY))
-    step3 = F.when(others, F.replace(step2, F.lit(AMP_ENTITY), F.lit(AMP_REPLACEMENT))) \
-        .otherwise(step2)
-    return F.when(F.instr(step1, "&") > 0, step3).otherwise(step1)
+    pieces2 = F.regexp_extract_all(step1, F.lit(f"{NAMED_ENTITY_REGEX}|&|[^&]+"), 0)
+    step2 = F.array_join(F.transform(pieces2, lambda p: F.when(
+        p.startswith("&") & p.endswith(";") & (p != F.lit(AMP_ENTITY)),
+        F.coalesce(F.element_at(entity_map, p), p)).otherwise(p)), "")
+    step3 = F.replace(step2, F.lit(AMP_ENTITY), F.lit(AMP_REPLACEMENT))
+    return F.when((F.instr(step1, "&") > 0) & others, step3).otherwise(step1)
 
 
 def tokenize(text: Column, preserve_case_regex: str | None = PRESERVE_CASE_REGEX) -> Column:
