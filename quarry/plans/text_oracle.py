@@ -91,7 +91,7 @@ ORACLE = {
     "scan_paragraphs": _w(PARAS,
                           "SELECT doc_id, para_idx, paragraph FROM paras"),
     "split_sentences": _w(RAW_SENTS,
-                          "SELECT doc_id, para_idx, sent_idx, length(sentence) AS sent_len FROM raw_sents"),
+                          "SELECT doc_id, para_idx, sent_idx, sentence FROM raw_sents"),
     "normalize_sentence": _w(SENTENCES, "SELECT doc_id, para_idx, sent_idx, sentence FROM sents"),
     "ngrams": _w(SENTENCES, """SELECT doc_id, para_idx, sent_idx, i - 1 AS pos, array_to_string(w[i:i + 2], ' ') AS ngram
 FROM words, LATERAL (SELECT unnest(generate_series(1, len(w) - 2)) AS i) ii"""),
@@ -102,7 +102,7 @@ WHERE rnk <= {Q.TOP_NGRAMS}"""),
     "row_count": f"SELECT {LINES_COUNT} AS n_rows",
     "scan_json_records": _w(POSTS, "SELECT post_id, user_id, text FROM posts"),
     "is_post": _w(POSTS, f"SELECT {LINES_COUNT} AS n_lines, count(*) AS n_posts, {LINES_COUNT} - count(*) AS n_dropped FROM posts"),
-    "project_field": _w(POSTS, "SELECT user_id, length(text) AS text_len FROM posts"),
+    "project_field": _w(POSTS, "SELECT user_id, text FROM posts"),
     "scan_user_groups": _w(POSTS, "SELECT user_id, group_id FROM grp"),
     "distinct_users": _w(POSTS, "SELECT count(DISTINCT user_id) AS n_users FROM posts"),
     "user_to_group": _w(POSTS, "SELECT post_id, user_id, group_id FROM posts_g"),

@@ -36,7 +36,7 @@ def q_scan_paragraphs(spark, sf_dir):
 
 def q_split_sentences(spark, sf_dir):
     paras = q_scan_paragraphs(spark, sf_dir)
-    return NG.split_sentences(paras).select("doc_id", "para_idx", "sent_idx", F.length("sentence").alias("sent_len"))
+    return NG.split_sentences(paras).select("doc_id", "para_idx", "sent_idx", "sentence")
 
 
 def q_normalize_sentence(spark, sf_dir):
@@ -93,7 +93,7 @@ def q_is_post(spark, sf_dir):
 
 
 def q_project_field(spark, sf_dir):
-    return _posts(spark, sf_dir).select("user_id", F.length("text").alias("text_len"))
+    return _posts(spark, sf_dir).select("user_id", "text")
 
 
 def q_scan_user_groups(spark, sf_dir):

@@ -2,8 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
-
 from quarry.operators import posts as P
 from quarry.sources.json import scan_json_records
 
