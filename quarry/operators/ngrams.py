@@ -1,8 +1,8 @@
 """Sentences and n-gram frequencies of a text corpus.
 
 Plan: one scan, narrow explodes (paragraph -> sentence -> n -> n-gram), one
-hash aggregate with map-side partial counts, and a per-n top-k whose limit
-is applied before and after the shuffle (window group limit).
+hash aggregate with map-side partial counts, and a per-n top-k that ranks
+only the n-grams at or above the k-th largest count of their n.
 """
 
 from __future__ import annotations
@@ -44,9 +44,23 @@ def ngram_counts(sents: DataFrame, ns=(1, 2, 3, 4, 5), col: str = "sentence") ->
 
 
 def top_ngrams(counts: DataFrame, k: int = 5) -> DataFrame:
-    """The k most frequent n-grams for each n; ties by n-gram ascending."""
+    """The k most frequent n-grams for each n; ties by n-gram ascending.
+
+    Exact, without sorting every distinct n-gram: the histogram of counts per
+    n (one row per distinct count value) gives the k-th largest count of each
+    n; only n-grams at or above it (ties included) are ranked. The threshold
+    table has one row per n, so broadcasting it is bounded by the parameters.
+    """
+    hist = counts.groupBy("n", "cnt").agg(F.count(F.lit(1)).alias("m"))
+    running = Window.partitionBy("n").orderBy(F.col("cnt").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    thr = (hist.withColumn("at_least", F.sum("m").over(running))
+           .where(F.col("at_least") >= k).groupBy("n").agg(F.max("cnt").alias("thr")))
+    # an n with fewer than k distinct n-grams has no threshold and keeps all
+    cand = (counts.join(F.broadcast(thr), "n", "left")
+            .where(F.col("thr").isNull() | (F.col("cnt") >= F.col("thr"))).drop("thr"))
     w = Window.partitionBy("n").orderBy(F.col("cnt").desc(), F.col("ngram").asc())
-    return (counts.withColumn("rnk", F.row_number().over(w))
+    return (cand.withColumn("rnk", F.row_number().over(w))
             .where(F.col("rnk") <= k)
             .select("n", "rnk", "ngram", "cnt"))
 
