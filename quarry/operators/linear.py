@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 from quarry.session import local_frame
 
 
-def gram_sums(df: DataFrame, inputs: list[str], targets: list[str], split_col: str = "split") -> dict:
-    """``{split: {"xx": (p+1, p+1), "xy": (p+1, t), "yy": (t,), "n": float}}``."""
+def gram_aggregates(df: DataFrame, inputs: list[str], targets: list[str], split_col: str = "split") -> DataFrame:
+    """One row per split with every Gram sum as a column (``xx_i_j``, ``xy_i_t``, ``yy_t``).
+
+    Column 0 of X is the intercept (1.0), so ``xx_0_0`` is the row count.
+    Rows with a NULL input or target are left out.
+    """
     xs = [F.lit(1.0)] + [F.col(c).cast("double") for c in inputs]
     ys = [F.col(c).cast("double") for c in targets]
     aggs = []
@@ -32,9 +36,15 @@ def gram_sums(df: DataFrame, inputs: list[str], targets: list[str], split_col: s
         aggs.append(F.sum(ys[t] * ys[t]).alias(f"yy_{t}"))
     cols = inputs + targets
     clean = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-    rows = clean.groupBy(split_col).agg(*aggs).collect()   # one row per split
+    return clean.groupBy(split_col).agg(*aggs)
+
+
+def gram_sums(df: DataFrame, inputs: list[str], targets: list[str], split_col: str = "split") -> dict:
+    """``{split: {"xx": (p+1, p+1), "xy": (p+1, t), "yy": (t,), "n": float}}``."""
+    rows = gram_aggregates(df, inputs, targets, split_col).collect()   # one row per split
+    ys = targets
     out = {}
-    p = len(xs)
+    p = len(inputs) + 1
     for r in rows:
         xx = np.zeros((p, p))
         xy = np.zeros((p, len(ys)))

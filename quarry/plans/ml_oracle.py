@@ -74,7 +74,31 @@ PARTICLE_FEATURES_SQL = ("[l_quantity, l_extendedprice, l_discount, l_tax, CAST(
 _A, _B = Q.DERIVE_PAIR
 _C1, _C2, _C3 = Q.CONCAT_MEASUREMENTS
 
+def linreg_gram_sql() -> str:
+    key = LINE_KEY
+    xs = ["1.0", "l_quantity", "l_discount", "l_tax", "CAST(l_linenumber AS DOUBLE)"]
+    disc = "(l_extendedprice * (1 - l_discount))"
+    ys = ["l_extendedprice", disc, f"({disc} * (1 + l_tax))"]
+    terms = []
+    for i in range(len(xs)):
+        for j in range(i, len(xs)):
+            terms.append((f"xx_{i}_{j}", f"sum(CAST({xs[i]} AS DOUBLE) * {xs[j]})"))
+        for t in range(len(ys)):
+            terms.append((f"xy_{i}_{t}", f"sum(CAST({xs[i]} AS DOUBLE) * {ys[t]})"))
+    for t in range(len(ys)):
+        terms.append((f"yy_{t}", f"sum({ys[t]} * {ys[t]})"))
+    cols = ", ".join(f"{expr} AS {name}" for name, expr in terms)
+    unpivot = " UNION ALL ".join(f"SELECT split, '{name}' AS term, {name} AS v FROM g" for name, _ in terms)
+    d = Q.SIG_DIGITS - 1
+    return f"""WITH d AS (SELECT *, {split_sql(key, 'half', (0.5, 0.5))} AS split FROM lineitem),
+g AS (SELECT split, {cols} FROM d GROUP BY split),
+u AS ({unpivot}),
+e AS (SELECT split, term, v, CASE WHEN v <> 0 THEN CAST(floor(log10(abs(v))) AS INTEGER) ELSE 0 END AS exponent FROM u)
+SELECT split, term, exponent, round(v / pow(10.0, exponent), {d}) AS mantissa FROM e"""
+
+
 ORACLE = {
+    "linreg_gram": linreg_gram_sql(),
     "sample_fraction": f"SELECT {LINE_KEY} AS key FROM lineitem WHERE {u_sql(LINE_KEY, lit('sample'))} < {Q.SAMPLE_FRACTION!r}",
     "split_70_30": f"SELECT vec_id, {split_sql('vec_id', 'split')} AS split FROM embeddings",
     "split_half": f"SELECT {LINE_KEY} AS key, {split_sql(LINE_KEY, 'half', (0.5, 0.5))} AS split FROM lineitem",

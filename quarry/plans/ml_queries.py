@@ -137,6 +137,26 @@ def _linreg(spark, sf_dir):
     return L.linreg(spark, d, REGRESSION_INPUTS, REGRESSION_TARGETS)
 
 
+SIG_DIGITS = 9
+
+
+def q_linreg_gram(spark, sf_dir):
+    """The data pass of the regression: every Gram sum per split.
+
+    Sums reach ~1e15, so each is given as mantissa (9 significant digits)
+    and power of ten.
+    """
+    d = SA.split_half(spread(regression_table(spark, sf_dir)), "key")
+    g = L.gram_aggregates(d, REGRESSION_INPUTS, REGRESSION_TARGETS)
+    terms = [c for c in g.columns if c != "split"]
+    stacked = g.select("split", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("term"), F.col(t).alias("v")) for t in terms])).alias("e"))
+    v = F.col("e.v")
+    expo = F.when(v != 0, F.floor(F.log10(F.abs(v)))).otherwise(F.lit(0)).cast("int")
+    return stacked.select("split", F.col("e.term").alias("term"), expo.alias("exponent"),
+                          F.round(v / F.pow(F.lit(10.0), expo), SIG_DIGITS - 1).alias("mantissa"))
+
+
 def q_linreg_fit(spark, sf_dir):
     return _linreg(spark, sf_dir)["coefficients"]
 
@@ -324,6 +344,7 @@ QUERIES = {
     "slice_columns": q_slice_columns,
     "concat_vectors": q_concat_vectors,
     "derive_measurements": q_derive_measurements,
+    "linreg_gram": q_linreg_gram,
     "linreg_fit": q_linreg_fit,
     "linreg_score": q_linreg_score,
     "linreg_ablation": q_linreg_ablation,
