@@ -135,4 +135,12 @@ FROM wide WHERE a IS NOT NULL AND b IS NOT NULL""",
          row_number() OVER (PARTITION BY a.run, a.j, d.dim) AS rn
   FROM near a JOIN pts p ON a.id = p.id CROSS JOIN range(1, 65) d(dim)) WHERE rn = 1 GROUP BY run, j, n""",
     "potential_sum": SEEDS + f"SELECT CAST(run AS INTEGER) AS run, round(sum(d2), {D}) AS potential FROM near GROUP BY run",
+    "seed_signature_entropy": SEEDS + f""", labs AS (SELECT id, list(j ORDER BY run) AS labels FROM near GROUP BY id),
+ex AS (SELECT CAST(k.range AS INTEGER) AS i, labels[1:k.range] AS sig FROM labs CROSS JOIN range(1, {Q.RUNS + 1}) k),
+c AS (SELECT i, sig, count(*) AS c FROM ex GROUP BY i, sig),
+p AS (SELECT i, c / sum(c) OVER (PARTITION BY i) AS p FROM c)
+SELECT i, round(-sum(p * log2(p)), {D}) AS entropy, round(pow(2.0, -sum(p * log2(p))), {D}) AS effective FROM p GROUP BY i""",
+    "seed_cost_summary": SEEDS + f""", pot AS (SELECT CAST(run AS INTEGER) AS run, sum(d2) AS cost FROM near GROUP BY run)
+SELECT round(log2(max(cost)), {D}) AS log2_max, round(log2(min(cost)), {D}) AS log2_min,
+       round(log2(avg(cost)), {D}) AS log2_mean, arg_min(run, (cost, run)) AS best_run FROM pot""",
 }

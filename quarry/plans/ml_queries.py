@@ -209,6 +209,22 @@ def q_potential_sum(spark, sf_dir):
     return p.select("run", r(F.col("potential")).alias("potential"))
 
 
+def q_seed_signature_entropy(spark, sf_dir):
+    """``signature_entropy`` of the labels given by the seeded centres."""
+    centres, _ = _seeds(spark, sf_dir)
+    lab = C.kmeans_assign(_points(spark, sf_dir), centres)
+    e = C.signature_entropy(lab, RUNS)
+    return e.select("i", r(F.col("entropy")).alias("entropy"), r(F.col("effective")).alias("effective"))
+
+
+def q_seed_cost_summary(spark, sf_dir):
+    """``cost_summary`` of the seeding's per-run potentials."""
+    centres, _ = _seeds(spark, sf_dir)
+    pot = C.potential(_points(spark, sf_dir), centres).withColumnRenamed("potential", "cost")
+    s = C.cost_summary(pot)
+    return s.select(*[r(F.col(c)).alias(c) for c in ("log2_max", "log2_min", "log2_mean")], "best_run")
+
+
 def _kmeans(spark, sf_dir):
     return C.kmeans_multi(_points(spark, sf_dir), K, RUNS, KMEANS_SEED, CONVERGE, MAX_ITER)
 
@@ -353,6 +369,8 @@ QUERIES = {
     "nearest_center": q_nearest_center,
     "center_update": q_center_update,
     "potential_sum": q_potential_sum,
+    "seed_signature_entropy": q_seed_signature_entropy,
+    "seed_cost_summary": q_seed_cost_summary,
     "kmeans_multi": q_kmeans_multi,
     "max_shift": q_max_shift,
     "kmeans_assign": q_kmeans_assign,
