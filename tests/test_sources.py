@@ -42,3 +42,14 @@ def test_numeric_csv_with_blanks(spark):
     assert len(df.columns) == 29 and len(rows) == 2
     assert rows[0].label == 1.0 and rows[1].f28 == 27.5
     assert len(CSV.cover_columns()) == 55
+
+
+def test_spread_only_when_too_few_splits(spark):
+    from quarry.sources.tables import read_table, spread
+    target = spark.sparkContext.defaultParallelism
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    spread_docs = spread(docs)
+    assert spread_docs.rdd.getNumPartitions() >= min(target, docs.rdd.getNumPartitions() * target)
+    assert spread_docs.count() == docs.count()
+    many = spark.range(0, 1000, numPartitions=target * 2)
+    assert spread(many) is many
