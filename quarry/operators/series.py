@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 from quarry.functions.vectors import nan_to_null
 
 SERIES_KEYS = ["station", "measurement", "year"]
-QUANTILE_ACCURACY = 1_000_000
+# Spark's default sketch accuracy: rank error <= n / 10,000 (exact below 10,000
+# values per group) with a bounded partial sketch per task and measurement.
+QUANTILE_ACCURACY = 10_000
 
 
 # ---------------------------------------------------------------------------
