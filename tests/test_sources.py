@@ -53,3 +53,30 @@ def test_spread_only_when_too_few_splits(spark):
     assert spread_docs.count() == docs.count()
     many = spark.range(0, 1000, numPartitions=target * 2)
     assert spread(many) is many
+
+
+def test_file_readers_round_trip(spark):
+    from quarry.operators import features as FE
+    from quarry.operators import series as S
+    from quarry.sources import files as FI
+    d = tempfile.mkdtemp(prefix="quarry-files-")
+    spark.createDataFrame([("u1", 3), ("u2", 6)], FI.USER_GROUPS).write.parquet(os.path.join(d, "groups"))
+    spark.createDataFrame([("u1", 3)], FI.USER_GROUPS).write.option("header", "true").csv(os.path.join(d, "groups_csv"))
+    assert FI.read_user_groups(spark, os.path.join(d, "groups")).count() == 2
+    assert FI.read_user_groups(spark, os.path.join(d, "groups_csv"), "csv").first().group_id == 3
+
+    nested = spark.createDataFrame(
+        [("st1", [("TMAX", 2000, [1.0, float("nan"), 3.0]), ("TMIN", 2000, [0.0, 1.0, 2.0])])], FI.STATION_SERIES)
+    nested.write.parquet(os.path.join(d, "series"))
+    flat = S.flatten_series(FI.read_station_series(spark, os.path.join(d, "series")))
+    rows = {r.measurement: r["values"] for r in flat.collect()}
+    assert rows["TMAX"] == [1.0, None, 3.0]          # NaN at rest becomes NULL
+
+    proj = spark.createDataFrame([("st1", [1.0, 2.0, 3.0], [4.0, 5.0, 6.0], [7.0, 8.0, 9.0], 1.0, 2.0, 3.0, 4.0)],
+                                 FI.STATION_PROJECTIONS)
+    proj.write.parquet(os.path.join(d, "proj"))
+    p = FI.read_station_projections(spark, os.path.join(d, "proj"))
+    vec = p.select(FE.concat_vectors("TAVG_coeff", "TRANGE_coeff", "SNWD_coeff").alias("v")).first().v
+    assert vec == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0]
+    cols = FE.split_array_column(p.drop("TRANGE_coeff", "SNWD_coeff"), "TAVG_coeff", 3).columns
+    assert [c for c in cols if c.startswith("TAVG")] == ["TAVG_coeff1", "TAVG_coeff2", "TAVG_coeff3"]
