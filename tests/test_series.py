@@ -80,3 +80,11 @@ def test_slot_counts_and_length(spark):
     assert ne == {0: 5, 1: 5, 2: 4, 3: 5}
     v = S.valid_length(s, 4).first()
     assert (v.n_valid, v.n_invalid) == (5, 0)
+
+
+def test_require_length_fails_on_wrong_length(spark):
+    import pytest
+    bad = spark.createDataFrame([("s", "T", 2000, [1.0, 2.0])], "station string, measurement string, year int, values array<double>")
+    with pytest.raises(Exception):
+        S.require_length(bad, 4).collect()
+    assert S.require_length(frame(spark), 4).count() == 5

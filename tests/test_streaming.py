@@ -27,6 +27,12 @@ def test_stream_counts(spark):
     try:
         q.processAllAvailable()
         got = {r.group_id: r.n_posts for r in spark.sql(f"SELECT * FROM {name}").collect()}
+        assert got == {0: 2, 3: 2, 7: 2}
+        # a file arriving later updates the running counts
+        with open(os.path.join(d, "part-9.txt"), "w") as f:
+            f.write(LINES[0] + "\n" + LINES[2] + "\n")
+        q.processAllAvailable()
+        got = {r.group_id: r.n_posts for r in spark.sql(f"SELECT * FROM {name}").collect()}
+        assert got == {0: 3, 3: 2, 7: 3}
     finally:
         q.stop()
-    assert got == {0: 2, 3: 2, 7: 2}
