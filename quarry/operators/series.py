@@ -154,18 +154,18 @@ def _gram_partials(batches):
             else:
                 acc[m] = list(blk)
     for m, (n, sx, sxy) in acc.items():
-        s = n.shape[0]
-        ii, jj = np.meshgrid(np.arange(s), np.arange(s), indexing="ij")
-        yield pd.DataFrame({"measurement": m, "i": ii.ravel().astype("int32"),
-                            "j": jj.ravel().astype("int32"), "n": n.ravel(),
-                            "sx": sx.ravel(), "sy": sx.T.ravel(), "sxy": sxy.ravel()})
+        # the blocks are symmetric (sy = sx transposed): send the upper triangle only
+        ii, jj = np.triu_indices(n.shape[0])
+        yield pd.DataFrame({"measurement": m, "i": ii.astype("int32"), "j": jj.astype("int32"),
+                            "n": n[ii, jj], "sx": sx[ii, jj], "sy": sx[jj, ii], "sxy": sxy[ii, jj]})
 
 
 def gram_sums(series: DataFrame) -> DataFrame:
-    """``(measurement, i, j, n, sx, sy, sxy)`` summed over all series.
+    """``(measurement, i, j, n, sx, sy, sxy)`` for i <= j, summed over all series.
 
     ``n`` counts series with both slots present; ``sx``/``sy`` sum slot i/j
-    over those series; ``sxy`` sums the products.
+    over those series; ``sxy`` sums the products. Only the upper triangle is
+    shuffled; the lower one follows by symmetry.
     """
     parts = series.select("measurement", "values").mapInPandas(_gram_partials, _PARTIAL_SCHEMA)
     return parts.groupBy("measurement", "i", "j").agg(
@@ -173,11 +173,14 @@ def gram_sums(series: DataFrame) -> DataFrame:
 
 
 def covariance(series: DataFrame) -> DataFrame:
-    """Pairwise-complete population covariance ``(measurement, i, j, n, cov)``."""
+    """Pairwise-complete population covariance ``(measurement, i, j, n, cov)``, all i, j."""
     g = gram_sums(series)
     cov = F.when(F.col("n") > 0, F.col("sxy") / F.col("n")
                  - (F.col("sx") / F.col("n")) * (F.col("sy") / F.col("n")))
-    return g.select("measurement", "i", "j", F.col("n").cast("long").alias("n"), cov.alias("cov"))
+    upper = g.select("measurement", "i", "j", F.col("n").cast("long").alias("n"), cov.alias("cov"))
+    lower = upper.where(F.col("i") < F.col("j")).select(
+        "measurement", F.col("j").alias("i"), F.col("i").alias("j"), "n", "cov")
+    return upper.unionByName(lower)
 
 
 _BASIS_SCHEMA = T.StructType([
