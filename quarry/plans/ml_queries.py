@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from quarry.operators import linear as L
 from quarry.operators import sampling as SA
 from quarry.operators import series as S
 from quarry.operators import trees as TR
-from quarry.session import ensure_checkpoint_dir, local_frame
+from quarry.session import ensure_checkpoint_dir, local_frame, persisted
 from quarry.sources.tables import spread
 from quarry.sources.standins import (EVENT_SLOTS, PARTICLE_FEATURES, REGRESSION_INPUTS,
                                      REGRESSION_TARGETS, cover_table, event_series_nested,
@@ -316,10 +317,14 @@ def q_mismatched(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
-    d = _cover_split(spark, sf_dir)
-    g = TR.depth_sweep(spark, d, "gbt", SWEEP_DEPTHS, parallelism=SWEEP_PARALLELISM, max_bins=20)
-    f = TR.depth_sweep(spark, d, "rf", SWEEP_DEPTHS, parallelism=SWEEP_PARALLELISM, max_bins=10)
-    return g.unionByName(f)
+    """Both learners' sweeps over one persisted split, run side by side."""
+    with persisted(_cover_split(spark, sf_dir)) as d:
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            g = pool.submit(TR.depth_sweep, spark, d, "gbt", SWEEP_DEPTHS,
+                            parallelism=SWEEP_PARALLELISM, persist=False, max_bins=20)
+            f = pool.submit(TR.depth_sweep, spark, d, "rf", SWEEP_DEPTHS,
+                            parallelism=SWEEP_PARALLELISM, persist=False, max_bins=10)
+            return g.result().unionByName(f.result())
 
 
 def q_depth_sweep(spark, sf_dir):
