@@ -27,14 +27,18 @@ def explode_ngrams(sents: DataFrame, ns=(1, 2, 3, 4, 5), col: str = "sentence")
     """``(n, ngram)`` rows for every n in ``ns``; never across sentences.
 
     Each word position starts one n-gram per n that fits in the sentence.
-    Only generators, ``slice`` and ``array_join`` are used, all of which run
-    in generated code (no per-element lambdas).
+    The longest one is joined once per position; the shorter ones are its
+    prefixes up to the n-th blank (words never contain blanks, so this is
+    exact even with empty words). Only generators and string functions with
+    generated code are used (no per-element lambdas).
     """
     words = sents.select(T.ngram_words(F.col(col)).alias("words"))
     starts = words.select("words", F.posexplode("words").alias("pos", "w"))
-    with_n = starts.select("words", "pos", F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
+    longest = starts.select("words", "pos",
+                            F.array_join(F.slice("words", F.col("pos") + 1, max(ns)), " ").alias("g"))
+    with_n = longest.select("words", "pos", "g", F.explode(F.array(*[F.lit(n) for n in ns])).alias("n"))
     fits = with_n.where(F.col("pos") + F.col("n") <= F.size("words"))
-    return fits.select("n", F.array_join(F.slice("words", F.col("pos") + 1, F.col("n")), " ").alias("ngram"))
+    return fits.select("n", F.expr("substring_index(g, ' ', n)").alias("ngram"))
 
 
 def ngram_counts(sents: DataFrame, ns=(1, 2, 3, 4, 5), col: str = "sentence") -> DataFrame:
