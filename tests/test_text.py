@@ -74,3 +74,11 @@ def test_tokens_cover_every_non_blank_character(spark):
         joined = "".join(r.t)
         assert "".join(ch for ch in joined if ch not in blank).lower() == \
             "".join(ch for ch in r.s if ch not in blank).lower(), r.s
+
+
+def test_top_ngrams_threshold_edges(spark):
+    rows = [(1, "a", 5), (1, "b", 3), (1, "c", 3), (1, "d", 3), (1, "e", 1),   # ties at the k-th count
+            (2, "x y", 2)]                                                     # fewer than k n-grams
+    counts = spark.createDataFrame(rows, "n int, ngram string, cnt bigint")
+    got = [(r.n, r.rnk, r.ngram, r.cnt) for r in NG.top_ngrams(counts, 3).orderBy("n", "rnk").collect()]
+    assert got == [(1, 1, "a", 5), (1, 2, "b", 3), (1, 3, "c", 3), (2, 1, "x y", 2)]
