@@ -63,3 +63,10 @@ def test_posts_job_from_manifest_files(spark):
     pg = P.user_to_group(scan_json_records(lines), groups)
     top = P.top_tokens_per_group(P.group_token_users(P.user_tokens(pg), 2), 10).collect()
     assert {(r.group_id, r.token) for r in top} == {(0, "go"), (0, "team"), (1, "go"), (7, "team")}
+
+
+def test_equal_popularity_ties_are_alphabetical(spark):
+    gtu = spark.createDataFrame([(0, "zeta", 1, 2), (0, "alpha", 1, 2), (0, "mid", 2, 2)],
+                                "group_id int, token string, c_k bigint, c_all bigint")
+    top = P.top_tokens_per_group(gtu, 10).orderBy("rnk").collect()
+    assert [r.token for r in top] == ["mid", "alpha", "zeta"]
