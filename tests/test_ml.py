@@ -87,3 +87,21 @@ def test_ties_go_to_lower_index_and_empty_centre_stays(spark):
     assert set(upd) == {0} and upd[0].n == 2
     new = C._collect_centres(C.lloyd_sums(df, centres), centres)
     assert new[0][0] == [1.0] and new[0][1] == [1.0] and new[0][2] == [100.0]
+
+
+def test_parallel_depth_sweep_equals_sequential(spark):
+    from pyspark.ml.functions import array_to_vector
+
+    from quarry.operators import trees as TR
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(120, 3))
+    y = (x[:, 0] + 0.5 * x[:, 1] > 0).astype(float)
+    df = spark.createDataFrame([(i, float(y[i]), x[i].tolist()) for i in range(120)],
+                               "id long, label double, f array<double>")
+    df = df.select("id", "label", array_to_vector("f").alias("features"))
+    df = SA.split_by_weights(df, "id")
+    seq = TR.depth_sweep(spark, df, "gbt", (1, 2), parallelism=1, max_iter=3).collect()
+    par = TR.depth_sweep(spark, df, "gbt", (1, 2), parallelism=2, max_iter=3).collect()
+    key = lambda r: (r.depth, r.split, r.error)
+    assert sorted(map(key, seq)) == sorted(map(key, par))
+    assert {r.split for r in seq} == {"train", "test"}
