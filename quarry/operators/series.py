@@ -177,10 +177,13 @@ def covariance(series: DataFrame) -> DataFrame:
     g = gram_sums(series)
     cov = F.when(F.col("n") > 0, F.col("sxy") / F.col("n")
                  - (F.col("sx") / F.col("n")) * (F.col("sy") / F.col("n")))
-    upper = g.select("measurement", "i", "j", F.col("n").cast("long").alias("n"), cov.alias("cov"))
-    lower = upper.where(F.col("i") < F.col("j")).select(
-        "measurement", F.col("j").alias("i"), F.col("i").alias("j"), "n", "cov")
-    return upper.unionByName(lower)
+    # mirror in the same pass: an off-diagonal entry yields (i, j) and (j, i)
+    ij = F.struct(F.col("i").alias("i"), F.col("j").alias("j"))
+    ji = F.struct(F.col("j").alias("i"), F.col("i").alias("j"))
+    pairs = F.when(F.col("i") < F.col("j"), F.array(ij, ji)).otherwise(F.array(ij))
+    out = g.select("measurement", F.explode(pairs).alias("p"),
+                   F.col("n").cast("long").alias("n"), cov.alias("cov"))
+    return out.select("measurement", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "n", "cov")
 
 
 _BASIS_SCHEMA = T.StructType([
