@@ -1,4 +1,4 @@
-"""Connected components by label propagation with pointer jumping."""
+"""Connected components by contraction to least neighbours with pointer jumping."""
 
 from __future__ import annotations
 
@@ -11,22 +11,27 @@ from quarry.llm.common import checkpointed
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the least node reachable, for every node of ``edges`` (a bigint, b bigint).
 
-    Each round every node takes the least label among its own and its
-    neighbours' and then that label's label, so labels travel distances that
-    double; edges are contracted to the labels of their ends and inner ones
-    are dropped, so a hub's many edges collapse in the first rounds. Rounds
-    end when no edge is left. Labels are checkpointed every round.
+    Each round every node points at its least neighbour or itself; the trees
+    of these pointers are flattened by pointer jumping (their depth halves
+    with every join) and edges are contracted to the roots at their ends,
+    inner ones dropped. Every root that still has an edge joins another tree
+    in the next round, so the number of roots at least halves and a long chain
+    collapses at once. What a round makes is checkpointed.
     """
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
     pairs = checkpointed(pairs)
     labels = None
     while not pairs.isEmpty():
-        # every node points at its least neighbour (combined map-side), roots at themselves
+        # least neighbours are combined map-side, so a hub's edges do not meet in one task
         both = pairs.select(F.col("b").alias("x"), F.col("a").alias("y")).unionByName(
             pairs.select(F.col("a").alias("x"), F.col("a").alias("y")))
-        parent = both.groupBy("x").agg(F.min("y").alias("p"))
-        up = parent.select(F.col("x").alias("p"), F.col("p").alias("g"))
-        parent = checkpointed(parent.join(up, "p", "left").select("x", F.coalesce("g", "p").alias("p")))
+        parent = checkpointed(both.groupBy("x").agg(F.min("y").alias("p")))
+        while True:
+            up = parent.select(F.col("x").alias("p"), F.col("p").alias("g"))
+            jumped = checkpointed(parent.join(up, "p").select("x", F.col("g").alias("p"), (F.col("g") != F.col("p")).alias("moved")))
+            parent = jumped.select("x", "p")
+            if jumped.where("moved").isEmpty():
+                break
         one, two = (parent.select(F.col("x").alias(c), F.col("p").alias("p" + c)) for c in "ab")
         pairs = checkpointed(pairs.join(one, "a").join(two, "b")
                              .select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b"))
