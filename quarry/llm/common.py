@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.session import ensure_checkpoint_dir
@@ -68,5 +69,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def shuffle_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def release(spark: SparkSession) -> None:
+    """Collect garbage on the driver between rounds of jobs.
+
+    Spark's cleaner drops shuffles, broadcasts and checkpoints of earlier
+    rounds only once the driver has collected the objects that stand for them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

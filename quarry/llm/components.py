@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed
+from quarry.llm.common import checkpointed, release
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -43,6 +43,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
             labels = (labels.join(step, "component", "left")
                       .select("node", F.coalesce("next", "component").alias("component")))
         labels = checkpointed(labels)
+        release(edges.sparkSession)
     if labels is None:
         return pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return labels

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed, mix64, row_blocks, texts_of
+from quarry.llm.common import checkpointed, mix64, release, row_blocks, texts_of
 from quarry.llm.components import connected_components
 from quarry.llm.shingles import shingle_sets
 from quarry.operators.joins import bounded_broadcast
@@ -202,6 +202,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = checkpointed(clusters.join(sizes, "component").join(mates.withColumnRenamed("rep", "node"), "node")
                           .select("node", F.col("component").alias("cluster"), "size", "mates"))
 
+    release(docs.sparkSession)
+
     wanted = placed.join(reps.select(F.col("rep").alias("node"), "digest"), "node")
     texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
     chosen = texts.join(bounded_broadcast(wanted.select("node", "cluster").distinct(), MEMBER_ROWS), "node")
@@ -239,6 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 .groupBy("cluster", "uc", "vc").applyInArrow(_verify_group, "a bigint, b bigint"))
         links = links.unionByName(by_leader).unionByName(rest)
 
+    release(docs.sparkSession)
     comps = connected_components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     classes = reps.select("digest", "rep").join(comps, "rep", "left") \
         .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
