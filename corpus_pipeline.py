@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import minhash, packing, quality_model, quality_rules, substrings
-from quarry.llm.common import checkpointed, held_out
+from quarry.llm.common import checkpointed, held_out, tidied
 from quarry.llm.queries import PACK_TOKENIZER
 from quarry.sources.tables import read_table
 
@@ -59,7 +59,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
                  *(b.column(c) for c in others)], ["doc_id", "text", "n_chars", *others])
 
     schema = ", ".join(["doc_id bigint", "text string", "n_chars bigint", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)])
-    return done.select("doc_id", "text", "spans", *others).mapInArrow(rest, schema).select(*docs.columns)
+    return done.select("doc_id", "text", "spans", *others).mapInArrow(tidied(rest), schema).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

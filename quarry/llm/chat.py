@@ -10,6 +10,7 @@ sum.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -17,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.llm.common import tidied
+
 #: Control strings in the order of their reserved ids. A role without its own
 #: opening is written between OTHER and ROLE_END.
 OPENINGS = {"system": "### System: ", "user": "### User: ", "assistant": "### Assistant: "}
@@ -44,6 +47,7 @@ class Codec:
     """A byte-level tokenizer with reserved ids for the control strings behind its vocabulary."""
 
     def __init__(self, tokenizer_json: bytes):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_buffer(tokenizer_json)
         self.tok.encode_special_tokens = True   # their strings are ordinary text
@@ -168,4 +172,4 @@ def format_chats(rows: DataFrame, tokenizer_path: str, conv_col: str = "conv_id"
         if begun:
             yield row()
 
-    return src.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, PARTS).withColumnRenamed("conv", conv_col)
+    return src.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(tidied(run), PARTS).withColumnRenamed("conv", conv_col)

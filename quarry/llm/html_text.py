@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import texts_of
+from quarry.llm.common import texts_of, tidied
 from quarry.llm.crf import Chain
 
 TRAINING_PAGES = 400
@@ -317,4 +317,4 @@ def extract(pages: DataFrame, field: Chain, id_col: str = "page_id", url_col: st
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("url"), pa.array(texts, pa.string())], ["id", "url", "text"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {id_type}, url string, text string").withColumnsRenamed({"id": id_col, "url": url_col})
+    return src.mapInArrow(tidied(run), f"id {id_type}, url string, text string").withColumnsRenamed({"id": id_col, "url": url_col})

@@ -7,7 +7,7 @@ from itertools import repeat
 
 import numpy as np
 
-LIMIT = 600_000   # distinct chunks kept per task; the table is emptied when it is full
+LIMIT = 150_000   # distinct chunks kept per task; the table is emptied when it is full
 
 
 class IdTable:

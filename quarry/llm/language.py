@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import joined, row_blocks, texts_of
+from quarry.llm.common import joined, row_blocks, texts_of, tidied
 from quarry.llm.samples import per_class
 
 DIM = 1 << 14            # half for trigrams, half for 4-grams
@@ -169,7 +169,7 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                     [b.column("id").slice(k, 50).cast(pa.int64()), b.column("class").slice(k, 50), pa.array([r.tobytes() for r in x], pa.binary())],
                     ["id", "lang", "x"])
 
-    got = sorted(src.mapInArrow(run, "id bigint, lang string, x binary").collect())
+    got = sorted(src.mapInArrow(tidied(run), "id bigint, lang string, x binary").collect())
     langs = sorted({r.lang for r in got})
     x = np.array([np.frombuffer(r.x, np.float32) for r in got], np.float32).reshape(-1, DIM)
     return Model(langs, x, np.array([langs.index(r.lang) for r in got], int))
@@ -208,4 +208,4 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     ["id", "lang_pred", "score"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return src.mapInArrow(tidied(run), f"id {id_type}, lang_pred string, score double").withColumnRenamed("id", id_col)

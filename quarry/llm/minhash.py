@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed, mix64, release, row_blocks, texts_of
+from quarry.llm.common import checkpointed, mix64, release, row_blocks, texts_of, tidied, tidied_group
 from quarry.llm.components import connected_components
 from quarry.llm.shingles import shingle_sets
 from quarry.operators.joins import bounded_broadcast
@@ -107,7 +107,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, with_set: bool = False,
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "id bigint, n bigint, digest binary, bands array<bigint>"
-    return src.mapInArrow(run, schema + (", elements binary" if with_set else "") + (f", {extra} bigint" if extra else ""))
+    return src.mapInArrow(tidied(run), schema + (", elements binary" if with_set else "") + (f", {extra} bigint" if extra else ""))
 
 
 def _forest(ids, comps, bands, sets, left, right) -> list[tuple[int, int]]:
@@ -162,7 +162,7 @@ def _leader_links(members: DataFrame, leaders: DataFrame) -> DataFrame:
                 out += [(i, h["id"]) for h in heads if h["id"] != i and linked(mine, np.frombuffer(h["elements"], "<u8"))]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["a", "b"])
 
-    return members.join(sets, "cluster").select("id", "elements", "leaders").mapInArrow(run, "a bigint, b bigint")
+    return members.join(sets, "cluster").select("id", "elements", "leaders").mapInArrow(tidied(run), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -214,7 +214,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns = ["id", "comp", "bands", "elements", "is_u", "is_v"]
     small = (sets.where(F.col("size") <= SMALL)
              .withColumns({"is_u": F.lit(True), "is_v": F.lit(True)}).select("cluster", *columns))
-    links = small.groupBy("cluster").applyInArrow(_verify_group, "a bigint, b bigint")
+    links = small.groupBy("cluster").applyInArrow(tidied_group(_verify_group), "a bigint, b bigint")
 
     if not placed.where(F.col("size") > SMALL).isEmpty():
         links = checkpointed(links)
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         right = open_.withColumns({"vc": chunk(CHUNK_V, "n_v"), "is_u": F.lit(False), "is_v": F.lit(True)}) \
             .withColumn("uc", spread(CHUNK_U, "n_u"))
         rest = (left.select("cluster", "uc", "vc", *columns).unionByName(right.select("cluster", "uc", "vc", *columns))
-                .groupBy("cluster", "uc", "vc").applyInArrow(_verify_group, "a bigint, b bigint"))
+                .groupBy("cluster", "uc", "vc").applyInArrow(tidied_group(_verify_group), "a bigint, b bigint"))
         links = links.unionByName(by_leader).unionByName(rest)
 
     release(docs.sparkSession)

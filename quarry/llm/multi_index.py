@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed
+from quarry.llm.common import checkpointed, tidied
 from quarry.llm.components import connected_components
 
 THRESHOLD = 0.93
@@ -111,7 +111,7 @@ def valid_vectors(rows: DataFrame, id_col: str, vector_col: str, label_col: str,
                 [b.column("id").filter(keep), b.column("label").filter(keep),
                  pa.array([r.tobytes() for r in unit(x[good])], pa.binary())], ["id", "label", "x"])
 
-    return src.mapInArrow(run, "id bigint, label bigint, x binary").distinct()
+    return src.mapInArrow(tidied(run), "id bigint, label bigint, x binary").distinct()
 
 
 def _placed(vectors: DataFrame, grid: Grid) -> DataFrame:
@@ -128,7 +128,7 @@ def _placed(vectors: DataFrame, grid: Grid) -> DataFrame:
                      pa.array(list(shared.value.visit_order(x).astype(np.int32)), pa.list_(pa.int32()))],
                     ["id", "label", "x", "cell", "visits"])
 
-    return vectors.mapInArrow(run, "id bigint, label bigint, x binary, cell int, visits array<int>")
+    return vectors.mapInArrow(tidied(run), "id bigint, label bigint, x binary, cell int, visits array<int>")
 
 
 def _compare(threshold: float):
@@ -213,7 +213,7 @@ def links(vectors: DataFrame, grid: Grid, threshold: float = THRESHOLD) -> DataF
     probes = probes.join(sizes, ["label", "line"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     both = index.withColumn("probe", F.lit(False)).select(*columns).unionByName(probes.withColumn("probe", F.lit(True)).select(*columns))
     return (both.repartition("label", "line", "chunk").sortWithinPartitions("label", "line", "chunk", "probe")
-            .mapInArrow(_compare(threshold), "id bigint, n bigint, other bigint"))
+            .mapInArrow(tidied(_compare(threshold)), "id bigint, n bigint, other bigint"))
 
 
 def fit(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> Grid | None:

@@ -15,6 +15,7 @@ lengths that are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import os
 import re
 from collections import deque
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import texts_of
+from quarry.llm.common import texts_of, tidied
 from quarry.llm.idtable import IdTable, gather, split_at
 
 SIZE = 4096
@@ -33,7 +34,7 @@ END_ID = 2
 SENTENCE_PENALTY = 8     # in ids of padding: a cut between sentences of one document
 HARD_PENALTY = 96        # a cut inside a sentence
 HARD_STEP = 512          # distance of the cuts offered inside a long stretch
-STREAM_BYTES = 4 << 20   # text packed as one stream inside a task
+STREAM_BYTES = 2 << 20   # text packed as one stream inside a task
 #: Signs that are one id run behind letters, and words of small letters up to U+024F.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 SIMPLE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u0100-\u024f]+").fullmatch
@@ -54,6 +55,7 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: bytes, end_id: int = END_ID):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
         from tokenizers import Tokenizer, pre_tokenizers
         self.tok = Tokenizer.from_buffer(tokenizer_json)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
@@ -227,4 +229,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
                 yield pa.RecordBatch.from_arrays(
                     cols, ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
-    return src.mapInArrow(run, PIECES)
+    return src.mapInArrow(tidied(run), PIECES)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import row_blocks, texts_of
+from quarry.llm.common import row_blocks, texts_of, tidied
 from quarry.llm.idtable import IdTable, split_at
 
 MARK = "▁"
@@ -100,7 +100,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                     ["id", "ids"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
+    return src.mapInArrow(tidied(run), f"id {id_type}, ids array<int>").withColumnRenamed("id", id_col)
 
 
 def decode(coded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -121,5 +121,5 @@ def decode(coded: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: s
                     [b.column("id").slice(start, 200), part, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    return (src.mapInArrow(run, f"id {id_type}, ids array<int>, decoded string")
+    return (src.mapInArrow(tidied(run), f"id {id_type}, ids array<int>, decoded string")
             .withColumnRenamed("id", id_col).withColumnRenamed("ids", ids_col))

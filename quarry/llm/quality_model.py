@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import joined, mix64, row_blocks, texts_of
+from quarry.llm.common import joined, mix64, row_blocks, texts_of, tidied
 from quarry.llm.samples import per_class
 from quarry.llm.shingles import word_hashes
 
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     [b.column("id").slice(part.start, len(x)).cast(pa.int64()), b.column("label").slice(part.start, len(x)),
                      pa.array([r.tobytes() for r in x], pa.binary())], ["id", "label", "x"])
 
-    got = sorted(src.mapInArrow(run, "id bigint, label int, x binary").collect())
+    got = sorted(src.mapInArrow(tidied(run), "id bigint, label int, x binary").collect())
     x = np.array([np.frombuffer(r.x, np.float32) for r in got], np.float32).reshape(-1, TERMS)
     return Model(x, np.array([r.label for r in got], int))
 
@@ -170,7 +170,7 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                     ["id", "score", "predicted"])
 
     id_type = src.schema["id"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {id_type}, score double, predicted int").withColumnRenamed("id", id_col)
+    return src.mapInArrow(tidied(run), f"id {id_type}, score double, predicted int").withColumnRenamed("id", id_col)
 
 
 def filter_rows(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -184,4 +184,4 @@ def filter_rows(docs: DataFrame, model: Model, text_col: str = "text", threshold
                 good = shared.value.score(texts[part]) >= threshold
                 yield b.slice(part.start, len(good)).filter(pa.array(good))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import texts_of
+from quarry.llm.common import texts_of, tidied
 
 #: Words are maximal runs of other characters than these.
 WHITE = b" \t\n\v\f\r"
@@ -119,7 +119,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     id_type = src.schema["id"].dataType.simpleString()
     names = (*Measures._fields, "failed_bits")
-    return src.mapInArrow(run, f"id {id_type}, " + ", ".join(f"{m} bigint" for m in names)).withColumnRenamed("id", id_col)
+    return src.mapInArrow(tidied(run), f"id {id_type}, " + ", ".join(f"{m} bigint" for m in names)).withColumnRenamed("id", id_col)
 
 
 def apply_policy(led: DataFrame, version: str = DEFAULT_POLICY) -> DataFrame:
@@ -153,4 +153,4 @@ def filter_rows(docs: DataFrame, text_col: str = "text", version: str = DEFAULT_
         for b in batches:
             yield b.filter(pa.array([not failed(measure(t)) & mask for t in texts_of(b, text_col)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import (chat, html_text, language, minhash, multi_index, packing, pieces, quality_model, quality_rules,
                         substrings)
-from quarry.llm.common import held_out
+from quarry.llm.common import held_out, tidied
 from quarry.sources.tables import read_table
 
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -75,9 +75,9 @@ def chat_digests(parts: DataFrame, tokenizer_path: str) -> DataFrame:
         if begun:
             yield row()
 
-    back = parts.mapInArrow(read_back, "conv_id bigint, part bigint, n bigint, turns string, loss string, chars bigint")
+    back = parts.mapInArrow(tidied(read_back), "conv_id bigint, part bigint, n bigint, turns string, loss string, chars bigint")
     return (back.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-            .mapInArrow(digest, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"))
+            .mapInArrow(tidied(digest), "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"))
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
