@@ -195,16 +195,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = checkpointed(reps)
     banded = reps.select("rep", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    stars = checkpointed(banded.join(buckets, "key").groupBy("rep", "head").agg(F.sum("size").alias("mates")))
+    stars = checkpointed(banded.join(buckets.hint("merge"), "key").groupBy("rep", "head").agg(F.sum("size").alias("mates")))
     clusters = connected_components(stars.select(F.col("rep").alias("a"), F.col("head").alias("b")))
     mates = stars.groupBy("rep").agg(F.sum("mates").alias("mates"))
     sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = checkpointed(clusters.join(sizes, "component").join(mates.withColumnRenamed("rep", "node"), "node")
+    placed = checkpointed(clusters.join(sizes.hint("merge"), "component").join(mates.withColumnRenamed("rep", "node").hint("merge"), "node")
                           .select("node", F.col("component").alias("cluster"), "size", "mates"))
 
     release(docs.sparkSession)
 
-    wanted = placed.join(reps.select(F.col("rep").alias("node"), "digest"), "node")
+    wanted = placed.join(reps.select(F.col("rep").alias("node"), "digest").hint("merge"), "node")
     texts = docs.select(F.col(id_col).cast("bigint").alias("node"), F.col(text_col).alias("text"))
     chosen = texts.join(bounded_broadcast(wanted.select("node", "cluster").distinct(), MEMBER_ROWS), "node")
     sets = (sketch(chosen, "node", "text", with_set=True, extra="cluster")
@@ -243,10 +243,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     release(docs.sparkSession)
     comps = connected_components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
-    classes = reps.select("digest", "rep").join(comps, "rep", "left") \
+    classes = reps.select("digest", "rep").join(comps.hint("merge"), "rep", "left") \
         .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
     own = scan.select("id", "n", "digest")
-    joined = own.join(classes, "digest", "left")
+    joined = own.join(classes.hint("merge"), "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
