@@ -57,7 +57,8 @@ TOKEN_CLASSES = (
     # plain word
     rf"[{_W}]+",
     # ellipsis of two or more dots, blanks allowed between them
-    rf"\.(?:[{_WS}]*\.)+",
+    # (one class and no group: a group would recurse once per dot)
+    rf"\.[{_WS}.]*\.",
     # any other single non-blank character
     rf"[^{_WS}]",
 )
@@ -136,7 +137,7 @@ def unescape_entities(text: Column) -> Column:
     pieces = F.regexp_extract_all(text, F.lit(f"{NUMERIC_ENTITY_REGEX}|&|[^&]+"), 0)
 
     def decode_numeric(p: Column) -> Column:
-        digits = F.regexp_extract(p, r"^&#([0-9]+);$", 1)
+        digits = F.regexp_extract(p, r"^&#0*([0-9]+);$", 1)   # any number of leading zeros
         n = F.when(F.length(digits).between(1, 8), digits.cast("bigint"))
         valid = (n.isNotNull() & (n <= MAX_CODE_POINT)
                  & ~n.between(0xD800, 0xDFFF))

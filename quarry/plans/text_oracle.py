@@ -55,9 +55,9 @@ posts_g AS (SELECT p.*, coalesce(g.group_id, 7) AS group_id FROM posts p LEFT JO
 unesc1 AS (
   SELECT *, CASE WHEN strpos(text, '&#') > 0 THEN array_to_string(list_transform(
       regexp_extract_all(text, {lit(T.NUMERIC_ENTITY_REGEX + '|&|[^&]+')}),
-      lambda x: CASE WHEN regexp_full_match(x, '&#[0-9]{{1,8}};')
-                 AND CAST(substr(x, 3, length(x) - 3) AS BIGINT) <= {T.MAX_CODE_POINT}
-                 AND CAST(substr(x, 3, length(x) - 3) AS BIGINT) NOT BETWEEN 55296 AND 57343
+      lambda x: CASE WHEN regexp_full_match(x, '&#0*[0-9]{{1,8}};')
+                 AND TRY_CAST(substr(x, 3, length(x) - 3) AS BIGINT) <= {T.MAX_CODE_POINT}
+                 AND TRY_CAST(substr(x, 3, length(x) - 3) AS BIGINT) NOT BETWEEN 55296 AND 57343
                 THEN chr(CAST(substr(x, 3, length(x) - 3) AS INTEGER)) ELSE x END), '')
     ELSE text END AS s1
   FROM posts_g),

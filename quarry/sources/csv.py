@@ -34,10 +34,10 @@ def numeric_schema(names: list[str]) -> T.StructType:
 
 
 def scan_numeric_csv(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Read a headerless numeric CSV with a fixed schema; blanks are trimmed."""
+    """Read a headerless numeric CSV with a fixed schema; blanks are trimmed, a bad number or a short row fails the job."""
     return (spark.read.schema(numeric_schema(names))
             .option("header", "false")
             .option("ignoreLeadingWhiteSpace", "true")
             .option("ignoreTrailingWhiteSpace", "true")
-            .option("mode", "DROPMALFORMED")
+            .option("mode", "FAILFAST")
             .csv(path))

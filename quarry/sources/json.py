@@ -17,7 +17,7 @@ POST_SCHEMA = T.StructType([
 def parse_json_records(lines: DataFrame, value_col: str = "value",
                        schema: T.StructType = POST_SCHEMA) -> DataFrame:
     """Parse each line; unparsable lines and non-objects give a NULL struct."""
-    return lines.select(F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE"}).alias("p"))
+    return lines.select(F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}).alias("p"))
 
 
 def is_post(parsed: Column) -> Column:

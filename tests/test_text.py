@@ -82,3 +82,16 @@ def test_top_ngrams_threshold_edges(spark):
     counts = spark.createDataFrame(rows, "n int, ngram string, cnt bigint")
     got = [(r.n, r.rnk, r.ngram, r.cnt) for r in NG.top_ngrams(counts, 3).orderBy("n", "rnk").collect()]
     assert got == [(1, 1, "a", 5), (1, 2, "b", 3), (1, 3, "c", 3), (2, 1, "x y", 2)]
+
+
+def test_long_runs_of_dots_and_leading_zeros(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.functions.text import tokenize, unescape_entities
+    dots = "." * 100_000
+    row = spark.createDataFrame([(dots, ". . .. " * 5_000 + "x", "&#000000065;&#0;&#99999999999999999999;")], "a string, b string, c string") \
+        .select(tokenize(F.col("a")).alias("a"),
+                tokenize(F.col("b")).alias("b"),
+                unescape_entities(F.col("c")).alias("c")).first()
+    assert row.a == [dots] and row.b[-1] == "x" and len(row.b) == 2
+    assert row.c == "A\x00&#99999999999999999999;"
