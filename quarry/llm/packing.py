@@ -32,8 +32,8 @@ from quarry.llm.idtable import IdTable, gather, split_at
 SIZE = 4096
 END_ID = 2
 SENTENCE_PENALTY = 8     # in ids of padding: a cut between sentences of one document
-HARD_PENALTY = 96        # a cut inside a sentence
-HARD_STEP = 512          # distance of the cuts offered inside a long stretch
+HARD_PENALTY = 48        # a cut inside a sentence
+HARD_STEP = 64           # distance of the cuts offered inside a long stretch
 STREAM_BYTES = 2 << 20   # text packed as one stream inside a task
 #: Signs that are one id run behind letters, and words of small letters up to U+024F.
 TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
