@@ -137,6 +137,8 @@ def boundaries(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, step
 def cut(pos: np.ndarray, penalty: np.ndarray, size: int = SIZE) -> list[int]:
     """Ends of the windows of least padding plus penalties, by a monotone queue.
 
+    The last window's padding does not count.
+
     Neighbouring boundaries must be at most ``size`` apart.
     """
     where, cost = pos.tolist(), penalty.tolist()
@@ -154,7 +156,12 @@ def cut(pos: np.ndarray, penalty: np.ndarray, size: int = SIZE) -> list[int]:
         while queue and key[queue[-1]] >= k:
             queue.pop()
         queue.append(j)
-    ends, j = [], n - 1
+    # the last window is free: what it leaves is cut into lengths without padding
+    j = n - 1
+    tail = [i for i in range(j - 1, -1, -1) if where[i] >= where[j] - size] if j else []   # ends of one window
+    if tail:
+        back[j] = min(tail, key=lambda i: key[i] - where[i])
+    ends = []
     while j > 0:
         ends.append(where[j])
         j = back[j]
