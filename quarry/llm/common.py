@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -66,9 +67,14 @@ def held_out(id_col: str):
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Cut the lineage with a table written to the shared folder and read back.
+
+    A table is written once, where ``checkpoint()`` computes the last stage
+    twice (once to count it, once to write it), and readers prune its columns.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quarry-tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def tidy() -> None:

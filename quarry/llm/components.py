@@ -16,7 +16,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     with every join) and edges are contracted to the roots at their ends,
     inner ones dropped. Every root that still has an edge joins another tree
     in the next round, so the number of roots at least halves and a long chain
-    collapses at once. What a round makes is checkpointed, and joins are
+    collapses at once. What a round makes is written to a table, and joins are
     sort-merge joins, so nothing of the graph passes through the driver.
     """
     pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
