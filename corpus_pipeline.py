@@ -7,12 +7,11 @@ the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import minhash, packing, quality_model, quality_rules, substrings
-from quarry.llm.common import checkpointed, held_out, tidied
+from quarry.llm.common import checkpointed, held_out
 from quarry.llm.queries import PACK_TOKENIZER
 from quarry.sources.tables import read_table
 
@@ -48,18 +47,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     anew. A document of which nothing is left stays with an empty text.
     """
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    done = substrings.remove_repeats(docs, carry=("text", *others))
-
-    def rest(batches):
-        for b in batches:
-            texts = [substrings.whole_characters(t or b"", s) for t, s in
-                     zip(b.column("text").cast(pa.large_binary()).to_pylist(), b.column("spans").to_pylist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64()),
-                 *(b.column(c) for c in others)], ["doc_id", "text", "n_chars", *others])
-
-    schema = ", ".join(["doc_id bigint", "text string", "n_chars bigint", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)])
-    return done.select("doc_id", "text", "spans", *others).mapInArrow(tidied(rest), schema).select(*docs.columns)
+    done = substrings.remove_repeats(docs, carry=tuple(others), as_text=True)
+    return (done.withColumnRenamed("kept", "text").withColumn("n_chars", F.length("text").cast("bigint"))
+            .select(*docs.columns))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
