@@ -237,7 +237,8 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
                  max_iter: int = 100, id_col: str = "id", vec_col: str = "vec") -> dict:
     """Seed, then Lloyd steps for all runs until the max shift is <= converge_dist.
 
-    At least one step is always made. Returns centres, iterations and shifts.
+    At least one step is always made. Returns centres, iterations, shifts and
+    ``converged``: False if ``max_iter`` ended the loop.
     """
     pts = points.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col))
     with persisted(pts) as pts:
@@ -250,7 +251,8 @@ def kmeans_multi(points: DataFrame, k: int, runs: int, seed: int, converge_dist:
             centres = new
             if shifts[-1] <= converge_dist:
                 break
-        return {"centres": centres, "seed_ids": ids, "iterations": len(shifts), "shifts": shifts, "dim": dim}
+        return {"centres": centres, "seed_ids": ids, "iterations": len(shifts), "shifts": shifts, "dim": dim,
+                "converged": bool(shifts) and shifts[-1] <= converge_dist}
 
 
 def centres_frame(spark: SparkSession, centres: list) -> DataFrame:

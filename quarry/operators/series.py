@@ -137,43 +137,55 @@ _PARTIAL_SCHEMA = T.StructType([
     T.StructField("sxy", T.DoubleType())])
 
 
-def _gram_partials(batches):
-    """Per partition and measurement: pairwise-complete sums over its series."""
-    acc: dict[str, list] = {}
-    for pdf in batches:
-        for m, part in pdf.groupby("measurement", sort=False):
-            x = np.array([np.array(list(v), dtype="float64") for v in part["values"]])
-            if x.ndim != 2 or x.size == 0:
-                continue
-            present = ~np.isnan(x)
-            x0 = np.where(present, x, 0.0)
-            pm = present.astype("float64")
-            blk = (pm.T @ pm, x0.T @ pm, x0.T @ x0)
-            if m in acc:
-                acc[m] = [a + b for a, b in zip(acc[m], blk)]
-            else:
-                acc[m] = list(blk)
-    for m, (n, sx, sxy) in acc.items():
-        # the blocks are symmetric (sy = sx transposed): send the upper triangle only
-        ii, jj = np.triu_indices(n.shape[0])
-        yield pd.DataFrame({"measurement": m, "i": ii.astype("int32"), "j": jj.astype("int32"),
-                            "n": n[ii, jj], "sx": sx[ii, jj], "sy": sx[jj, ii], "sxy": sxy[ii, jj]})
+def _gram_partials(means: dict[str, list[float]]):
+    """Per partition and measurement: pairwise-complete sums over its series, less the slot means."""
+    def run(batches):
+        acc: dict[str, list] = {}
+        for pdf in batches:
+            for m, part in pdf.groupby("measurement", sort=False):
+                shift = np.array(means[m])
+                if (part["values"].map(len) != len(shift)).any():
+                    raise ValueError(f"series of {m} differ in length; see require_length")
+                x = np.array([np.array(list(v), dtype="float64") for v in part["values"]]) - shift
+                present = ~np.isnan(x)
+                x0 = np.where(present, x, 0.0)
+                pm = present.astype("float64")
+                blk = (pm.T @ pm, x0.T @ pm, x0.T @ x0)
+                acc[m] = [a + b for a, b in zip(acc[m], blk)] if m in acc else list(blk)
+        for m, (n, sx, sxy) in acc.items():
+            # the blocks are symmetric (sy = sx transposed): send the upper triangle only
+            ii, jj = np.triu_indices(n.shape[0])
+            yield pd.DataFrame({"measurement": m, "i": ii.astype("int32"), "j": jj.astype("int32"),
+                                "n": n[ii, jj], "sx": sx[ii, jj], "sy": sx[jj, ii], "sxy": sxy[ii, jj]})
+    return run
 
 
 def gram_sums(series: DataFrame) -> DataFrame:
     """``(measurement, i, j, n, sx, sy, sxy)`` for i <= j, summed over all series.
 
     ``n`` counts series with both slots present; ``sx``/``sy`` sum slot i/j
-    over those series; ``sxy`` sums the products. Only the upper triangle is
-    shuffled; the lower one follows by symmetry.
+    over those series; ``sxy`` sums the products. All values are taken less
+    their slot's mean, so large means lose no digits. The means (one number
+    per measurement and slot, whatever the number of series) are read by the
+    driver. Only the upper triangle is shuffled; the lower one follows by
+    symmetry. Series of unequal length end the job.
     """
-    parts = series.select("measurement", "values").mapInPandas(_gram_partials, _PARTIAL_SCHEMA)
+    means: dict[str, dict[int, float]] = {}
+    slots = slot_values(series, keep_missing=True)
+    value = F.when(~F.isnan("value"), F.col("value"))
+    for r in slots.groupBy("measurement", "slot").agg(F.avg(value).alias("mean")).collect():
+        means.setdefault(r.measurement, {})[r.slot] = 0.0 if r["mean"] is None else r["mean"]
+    shifts = {m: [by_slot[k] for k in range(len(by_slot))] for m, by_slot in means.items()}
+    parts = series.where(F.size("values") > 0).select("measurement", "values").mapInPandas(_gram_partials(shifts), _PARTIAL_SCHEMA)
     return parts.groupBy("measurement", "i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxy")])
 
 
 def covariance(series: DataFrame) -> DataFrame:
-    """Pairwise-complete population covariance ``(measurement, i, j, n, cov)``, all i, j."""
+    """Pairwise-complete population covariance ``(measurement, i, j, n, cov)``, all i, j.
+
+    NULL for a pair of slots that no series has both of.
+    """
     g = gram_sums(series)
     cov = F.when(F.col("n") > 0, F.col("sxy") / F.col("n")
                  - (F.col("sx") / F.col("n")) * (F.col("sy") / F.col("n")))
@@ -213,7 +225,8 @@ def series_pca(series: DataFrame) -> DataFrame:
     """``(measurement, k, eigval, eigvec)``, k = 1.. by decreasing eigenvalue.
 
     The pairwise matrix need not be positive semi-definite; negative
-    eigenvalues are reported, not hidden.
+    eigenvalues are reported, not hidden. A pair of slots that no series has
+    both of counts as uncorrelated (covariance 0).
     """
     cov = covariance(series).select("measurement", "i", "j", "cov")
     return cov.groupBy("measurement").applyInPandas(_eigen, _BASIS_SCHEMA)

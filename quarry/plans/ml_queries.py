@@ -28,7 +28,6 @@ SPLIT_WEIGHTS = (0.7, 0.3)
 # k-means parameters of the reference
 K, RUNS, KMEANS_SEED, CONVERGE = 5, 25, 60295531, 0.1
 MAX_ITER = 100
-SWEEP_DEPTHS = (1, 3, 6)
 SWEEP_PARALLELISM = 3    # depths fitted at once; each fit of the stand-in is small
 MODEL_GRID = ((3, 0.5), (6, 0.3), (6, 0.5))
 DERIVE_PAIR = ("click", "view")        # stand-ins for the two temperature series
@@ -227,7 +226,10 @@ def q_seed_cost_summary(spark, sf_dir):
 
 
 def _kmeans(spark, sf_dir):
-    return C.kmeans_multi(_points(spark, sf_dir), K, RUNS, KMEANS_SEED, CONVERGE, MAX_ITER)
+    res = C.kmeans_multi(_points(spark, sf_dir), K, RUNS, KMEANS_SEED, CONVERGE, MAX_ITER)
+    if not res["converged"]:
+        raise RuntimeError(f"k-means has not converged after {MAX_ITER} steps")
+    return res
 
 
 def q_kmeans_multi(spark, sf_dir):
@@ -280,7 +282,7 @@ def _cover_split(spark, sf_dir):
 
 
 def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test")):
-    p = spread(SA.sample_fraction(particle_table(spark, sf_dir), "key", SAMPLE_FRACTION))
+    p = spread(particle_table(spark, sf_dir))
     lab = FE.to_labeled(p.withColumn("label", FE.binarize_threshold(F.col("label"))), F.col("label"), PARTICLE_FEATURES)
     return SA.split_by_weights(lab, "key", weights, names)
 
@@ -320,9 +322,9 @@ def _sweep(spark, sf_dir):
     """Both learners' sweeps over one persisted split, run side by side."""
     with persisted(_cover_split(spark, sf_dir)) as d:
         with ThreadPoolExecutor(max_workers=2) as pool:
-            g = pool.submit(TR.depth_sweep, spark, d, "gbt", SWEEP_DEPTHS,
+            g = pool.submit(TR.depth_sweep, spark, d, "gbt", TR.GBT_DEPTHS,
                             parallelism=SWEEP_PARALLELISM, persist=False, max_bins=20)
-            f = pool.submit(TR.depth_sweep, spark, d, "rf", SWEEP_DEPTHS,
+            f = pool.submit(TR.depth_sweep, spark, d, "rf", TR.RF_DEPTHS,
                             parallelism=SWEEP_PARALLELISM, persist=False, max_bins=10)
             return g.result().unionByName(f.result())
 

@@ -38,6 +38,13 @@ def test_covariance_matches_brute_force(spark):
     assert np.allclose(got, want)
 
 
+def test_covariance_keeps_digits_on_large_means(spark):
+    rows = [(a, "T", y, [1e8 + v, 1e8 - v, None]) for y, (a, v) in enumerate(zip("abc", (0.0, 1.0, 2.0)))]
+    got = {(r.i, r.j): r.cov for r in S.covariance(spark.createDataFrame(rows, frame(spark).schema)).collect()}
+    assert abs(got[0, 0] - 2 / 3) < 1e-6 and abs(got[0, 1] + 2 / 3) < 1e-6
+    assert got[0, 2] is None and got[2, 2] is None   # a slot that no series has
+
+
 def test_pca_eigenpairs_and_explained_variance(spark):
     x = np.array([[np.nan if v is None else v for v in r[3]] for r in ROWS])
     vals = np.sort(np.linalg.eigvalsh(pairwise_cov(x)))[::-1]
