@@ -29,9 +29,11 @@ from pyspark.sql import types as T
 from quarry.functions.vectors import nan_to_null
 
 SERIES_KEYS = ["station", "measurement", "year"]
-# Spark's default sketch accuracy: rank error <= n / 10,000 (exact below 10,000
-# values per group) with a bounded partial sketch per task and measurement.
+# Accuracy of the sketch that cuts a measurement's values into cells for the
+# exact ranks; it decides how many values are ranked, never the result.
 QUANTILE_ACCURACY = 10_000
+#: Percentiles in thousandths, so that ranks are exact integers.
+PERMILLE = {"low1000": 1, "low100": 10, "high100": 990, "high1000": 999}
 
 
 # ---------------------------------------------------------------------------
@@ -86,15 +88,45 @@ def scalar_stats(series: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFr
     """``(measurement, mean, std, low1000, low100, high100, high1000)``.
 
     low/high 100 are the 1st/99th and low/high 1000 the 0.1th/99.9th
-    percentiles, from Spark's bounded-memory quantile sketch.
+    percentiles: the value of rank ceil(p * n), exactly, for any n. A sketch
+    gives two cuts around each percentile (cuts of equal width would leave
+    all values in one cell beside an outlier); the values between cuts are
+    counted, and only the cells that hold a rank, a few n / ``accuracy``
+    values each, are counted by value and ranked. Cells cover all values, so
+    a sketch that errs makes a cell larger and no rank wrong.
     """
     v = slot_values(series)
-    q = F.percentile_approx("value", F.array(*[F.lit(p) for p in (0.001, 0.01, 0.99, 0.999)]), accuracy)
-    return (v.groupBy("measurement")
-            .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), q.alias("q"))
-            .select("measurement", "mean", "std", F.col("q")[0].alias("low1000"),
-                    F.col("q")[1].alias("low100"), F.col("q")[2].alias("high100"),
-                    F.col("q")[3].alias("high1000")))
+    around = sorted(min(max(p / 1000 + side * 2 / accuracy, 0.0), 1.0) for p in PERMILLE.values() for side in (-1, 1))
+    totals = v.groupBy("measurement").agg(
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("value", F.array(*[F.lit(p) for p in around]), accuracy).alias("cuts"))
+    # one row per measurement, as in value_histogram
+    cuts = totals.select(F.col("measurement").alias("of"), "cuts")
+    celled = (v.join(cuts, F.col("measurement").eqNullSafe(F.col("of")))
+              .select("measurement", "value", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("cell")))
+
+    ranks = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.greatest(F.lit(1), F.expr(f"(n * {p} + 999) div 1000")).alias("rank"))
+        for name, p in PERMILLE.items()]))
+    below = Window.partitionBy("measurement").orderBy("cell")   # as many rows as cells
+    cells = (celled.groupBy("measurement", "cell").agg(F.count(F.lit(1)).alias("cnt"))
+             .withColumn("upto", F.sum("cnt").over(below)))
+    wanted = (cells.select(F.col("measurement").alias("of"), F.col("cell").alias("at"), "cnt", "upto")
+              .join(totals.select("measurement", ranks.alias("r")), F.col("of").eqNullSafe(F.col("measurement")))
+              .where((F.col("r.rank") <= F.col("upto")) & (F.col("r.rank") > F.col("upto") - F.col("cnt")))
+              .groupBy("of", "at")
+              .agg(F.collect_list(F.struct("r.name", (F.col("r.rank") - F.col("upto") + F.col("cnt")).alias("rank"))).alias("ranks")))
+
+    within = Window.partitionBy("measurement", "cell").orderBy("value")
+    picked = (celled.join(wanted, F.col("measurement").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("at")))
+              .groupBy("measurement", "cell", "value").agg(F.count(F.lit(1)).alias("cnt"), F.first("ranks").alias("ranks"))
+              .withColumn("upto", F.sum("cnt").over(within))
+              .select("measurement", "value", "cnt", "upto", F.explode("ranks").alias("r"))
+              .where((F.col("r.rank") <= F.col("upto")) & (F.col("r.rank") > F.col("upto") - F.col("cnt")))
+              .groupBy(F.col("measurement").alias("of"))
+              .agg(*[F.max(F.when(F.col("r.name") == name, F.col("value"))).alias(name) for name in PERMILLE]))
+    return (totals.join(picked, F.col("measurement").eqNullSafe(F.col("of")))
+            .select("measurement", "mean", "std", *PERMILLE))
 
 
 def value_histogram(series: DataFrame, scalars: DataFrame, bins: int = 100) -> DataFrame:

@@ -95,3 +95,20 @@ def test_require_length_fails_on_wrong_length(spark):
     with pytest.raises(Exception):
         S.require_length(bad, 4).collect()
     assert S.require_length(frame(spark), 4).count() == 5
+
+
+def test_quantiles_are_exact_above_the_sketch_accuracy(spark):
+    n = 40_003
+    rows = spark.range(n).select(F.col("id").alias("station"), F.lit("T").alias("measurement"), F.lit(2000).alias("year"),
+                                 F.array(F.when(F.col("id") == 0, 1e12).otherwise(F.pmod(F.xxhash64("id"), F.lit(30_011)) / 7.0),
+                                         F.lit(None).cast("double")).alias("values"))
+    few = spark.createDataFrame([("s", None, 2000, [5.0, 5.0, 4.0])], rows.schema.simpleString()[7:-1].replace("station:bigint", "station:string"))
+    rows = rows.withColumn("station", F.col("station").cast("string")).unionByName(few)
+    x = sorted(r.value for r in S.slot_values(rows).where("measurement = 'T'").select("value").collect())
+    want = [x[-(-n * p // 1000) - 1] for p in (1, 10, 990, 999)]
+    for accuracy in (S.QUANTILE_ACCURACY, 50):   # a coarse sketch changes no value
+        scal = S.scalar_stats(rows, accuracy)
+        got = {r.measurement: [r.low1000, r.low100, r.high100, r.high1000] for r in scal.collect()}
+        assert got == {"T": want, None: [4.0, 4.0, 5.0, 5.0]}
+    h = S.value_histogram(rows, scal).where("measurement = 'T'").agg(F.sum("cnt")).first()[0]
+    assert h == sum(want[1] <= v <= want[2] for v in x)
