@@ -21,10 +21,13 @@ from quarry.llm.crf import Chain
 
 TRAINING_PAGES = 400
 
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
+#: Elements of a formula; its text belongs to the block around it.
+MATH = frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts none mtable mtr "
+                 "mlabeledtr mtd mstyle mpadded mphantom mspace menclose mfenced merror maction semantics annotation annotation-xml".split())
+INLINE = MATH | frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small "
                    "span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg math object".split())
+RAW = frozenset("script style textarea title noscript template iframe noframes xmp svg object".split())
 #: An opening tag on the left ends an open element on the right (inside the nearest of the last group).
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
            "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -102,13 +105,15 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                         break
                     del stack[k:]
                     break
+            if tag in MATH and tag != "math" and not page.startswith("</", at):
+                text.append(" ")   # neighbours in a formula stay apart
             continue
         attrs = m[3] if m[2] else m[6]
         if tag == "br":
             text.append(" ")
             continue
         if tag in RAW:
-            if attrs.endswith("/") and tag in ("svg", "math"):
+            if attrs.endswith("/") and tag == "svg":
                 continue
             end = _END[tag].search(page, at)
             flush()
@@ -129,7 +134,7 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                     del stack[k:]
                 elif t not in INLINE and (not closes or t in _SCOPE):
                     break
-        if tag in VOID or attrs.endswith("/") and tag not in INLINE and tag in VOID:
+        if tag in VOID or attrs.endswith("/") and tag in MATH:
             continue
         stack.append((tag, _attributes(attrs) if attrs else frozenset()))
     flush()
@@ -205,8 +210,23 @@ class _Author:
         """Boilerplate in the words of an article: only its place tells."""
         return self.pick(f"<p>{self.words(1, 30)}</p>", self.words(2, 20), f"<p>{self.words(3, 12)}</p><p>{self.words(3, 40)}</p>")
 
+    def raw(self) -> str:
+        """An element that shows no text of the article: only its tag tells."""
+        t = self.words(1, 30)
+        return self.pick(
+            f"<script>var a = '<p>{t}</p>';</script>", f"<style>p{{margin:0}} .{t}{{color:red}}</style>", f"<textarea name=t>{t}</textarea>",
+            f"<title>{t}</title>", f"<noscript>{self.pick(t, f'<p>{t}</p>')}</noscript>", f"<template>{self.pick(t, f'<p>{t}</p>')}</template>",
+            f"<iframe src=/x>{self.pick(t, f'<p>{t}</p>')}</iframe>", f"<noframes>{self.pick(t, f'<p>{t}</p>')}</noframes>",
+            f'<svg viewBox="0 0 9 9">{self.pick("", "<path d=M1/>")}{self.pick("<path d=M2/>", f"<text>{t}</text>", f"<title>{t}</title>", t)}</svg>',
+            f"<object data=x>{self.pick(t, f'<p>{t}</p>', '<param name=a value=b>')}</object>")
+
     def bad(self, inside: bool) -> str:
         options = [
+            self.raw, self.raw, self.raw, self.raw,
+            lambda: f"<dialog open>{self.speech()}</dialog>",
+            lambda: f"<menu><li>{self.words(1, 3, False)}<li>{self.words(1, 3, False)}</menu>",
+            lambda: f"<form><fieldset><label>{self.words(1, 3, False)}<input name=n></label>{self.speech()}</fieldset></form>",
+            lambda: f'<div {self.mark("login", "signin", "contact", "search")}>{self.speech()}</div>',
             lambda: f"<nav>{self.links(2, 8)}</nav>",
             lambda: f'<div {self.mark("menu", "nav", "navbar", "breadcrumbs", "pagination")}>{self.links(2, 6)}</div>',
             lambda: f"<aside>{self.speech()}{self.links(0, 4)}</aside>",
@@ -219,9 +239,6 @@ class _Author:
                     + "".join(f'<{(u := self.pick("div", "article", "li"))} class="{self.pick("comment", "reply", "item")}">{self.speech()}</{u}>'
                               for _ in range(self.rng.randint(1, 4))) + f"</{t}>",
             lambda: f'<div {self.mark("share", "social", "related", "recommended")}>{self.pick(self.links(1, 5), self.speech())}</div>',
-            lambda: f"<script>var a = '<p>{self.words(1, 9)}</p>';</script>",
-            lambda: f"<style>p{{margin:0}} .{self.words(1, 1, False)}{{color:red}}</style>",
-            lambda: f"<noscript>{self.words(2, 9)}</noscript>",
             lambda: f'<div hidden>{self.speech()}</div>',
             lambda: f'<!-- {self.words(1, 9)} -->',
         ]
@@ -230,7 +247,10 @@ class _Author:
                         lambda: f'<div {self.mark("header", "masthead", "topbar", "logo")}>{self.words(1, 6, False)}</div>',
                         lambda: f"<footer>{self.pick('&copy; ', '')}{self.speech()}</footer>",
                         lambda: f'<div {self.mark("footer", "copyright", "bottom")}>&copy; {self.words(1, 9)}</div>',
-                        lambda: f"<div>{self.links(2, 6)}</div>"]
+                        lambda: f"<div>{self.links(2, 6)}</div>",
+                        lambda: f"<xmp>{self.words(1, 20)}</xmp>",
+                        lambda: f"<address>{self.words(1, 9)}</address>",
+                        lambda: f"<details><summary>{self.words(1, 3, False)}</summary>{self.links(1, 4)}</details>"]
         return self.pick(*options)()
 
     def keep(self, text: str) -> str:
@@ -244,8 +264,26 @@ class _Author:
             t = f"{self.pick('<b>', '<a href=/x>', '<i>', '<span class=x>')}{first}{self.pick('</b>', '</a>', '</i>', '</span>', '')} {rest}"
         return self.pick(f"<p>{t}</p>", f"<p>{t}</p>", f"<p>{t}</p>", f"<p>{t}", f"<p><b>{t}<br>")
 
+    def formula(self) -> str:
+        """A paragraph with a formula in it, or a formula alone."""
+        a, b, c = (self.words(1, 1, False) for _ in range(3))
+        math = f"<math><mrow><mi>{a}</mi><mo>=</mo><msup><mi>{b}</mi><mn>{c}</mn></msup></mrow></math>"
+        if self.rng.random() < 0.5:
+            self.keep(f"{a} = {b} {c}")
+            return math
+        before, after = self.words(1, 20, False), self.words(1, 20)
+        self.keep(f"{before} {a} = {b} {c} {after}")
+        return f"<p>{before} {math} {after}</p>"
+
     def article(self) -> str:
-        parts = [lambda: f"<h2>{self.keep(self.words(1, 7, False))}</h2>", self.para, self.para, self.para, self.para, self.para,
+        parts = [self.formula,
+                 lambda: f"<xmp>{self.keep(self.words(1, 20))}</xmp>",
+                 lambda: f"<address>{self.keep(self.words(1, 9))}</address>",
+                 lambda: f"<details><summary>{self.keep(self.words(1, 5, False))}</summary>{self.para()}</details>",
+                 lambda: f"<{(h := self.pick('h4', 'h5', 'h6'))}>{self.keep(self.words(1, 7, False))}</{h}>",
+                 lambda: "<ol>" + "".join(f"<li>{self.keep(self.words(1, 12))}</li>" for _ in range(self.rng.randint(1, 5))) + "</ol>",
+                 lambda: f"<dl><dt>{self.keep(self.words(1, 3, False))}<dd>{self.keep(self.words(1, 12))}</dl>",
+                 lambda: f"<h2>{self.keep(self.words(1, 7, False))}</h2>", *[self.para] * 9,
                  lambda: "<ul>" + "".join(f"<li>{self.keep(self.words(1, 12))}</li>" for _ in range(self.rng.randint(1, 5))) + "</ul>",
                  lambda: f"<blockquote>{self.keep(self.words(3, 20))}</blockquote>",
                  lambda: f"<pre>{self.keep(self.words(3, 9))}</pre>",

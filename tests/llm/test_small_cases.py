@@ -138,3 +138,31 @@ def test_pages(spark):
     assert html_text.extract(table.limit(0), field).collect() == []
 
 
+@pytest.fixture(scope="module")
+def html_field():
+    return html_text.train()
+
+
+@pytest.mark.parametrize("place", ["<article>%s</article>", "<main><h1>One</h1>%s</main>", "<div class=content>%s</div>"])
+@pytest.mark.parametrize("tag, inner", [
+    ("svg", '<path d="M0 0L9 9"/><text>One two three four five.</text>'), ("svg", "<title>One two</title><path d=M1 />"),
+    ("template", "<p>One two three four five.</p>"), ("iframe", "One two three four five six."), ("textarea", "One two three four five."),
+    ("object", "<p>One two three four five.</p>"), ("noframes", "<p>One two three four five.</p>"), ("script", "var a = 'one two three.';"),
+    ("style", "p { margin: 0 }"), ("title", "One two three four five."), ("noscript", "<p>One two three four five.</p>")])
+def test_html_raw_elements_are_no_text(html_field, tag, inner, place):
+    around = "<p>Some words that were written for the article.</p>{}<p>And more of them in the end.</p>"
+    page = "<body><nav><a href=/>x</a></nav>" + place % around.format(f"<{tag}>{inner}</{tag}>") + f"<{tag}>{inner}</{tag}></body>"
+    got = html_text.main_text(page, html_field).split("\n")
+    assert got[-2:] == ["Some words that were written for the article.", "And more of them in the end."] and len(got) == 2 + ("<h1>" in place)
+
+
+def test_html_shown_elements_stay(html_field):
+    page = ("<body><xmp>outside the text</xmp><article><h1>Head</h1><p>Thus <math><mi>E</mi><mo>=</mo><mrow><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></mrow>"
+            "</math>, as known.</p><math display=block><mfrac><mn>1</mn><mn>2</mn></mfrac></math><p>Next one.</p><xmp>a listing of it</xmp><p>Last one.</p>"
+            "</article></body>")
+    assert html_text.main_text(page, html_field) == "Head\nThus E = m c 2, as known.\n1 2\nNext one.\na listing of it\nLast one."
+
+
+def test_html_training_pages_hold_every_tag():
+    seen = {f for features, _ in html_text.labelled_pages() for block in features for f in block}
+    assert {n for n, i in html_text.FEATURES.items() if i not in seen} <= {"in:title", "in:noscript"}   # raw: never an ancestor
