@@ -31,12 +31,17 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the least id of every group of near-duplicates (op 7), one row of it.
+    """Keep the least id of every group of near-duplicates (op 7).
 
-    Rows without an id stay.
+    A row stays or goes by the verdict on its own text. Of rows with one id
+    and equal sets (without a set: equal texts) one stays, that of the least
+    hash. Rows without an id stay.
     """
-    stays = minhash.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    keyed = docs.withColumn("text_key", F.xxhash64("text"))
+    stays = (minhash.near_duplicates(keyed, carry="text_key").where("kept AND doc_id IS NOT NULL")
+             .groupBy("doc_id", "digest", F.when(F.col("digest").isNull(), F.col("text_key")).alias("bare"))
+             .agg(F.min("text_key").alias("text_key")).select("doc_id", "text_key"))
+    named = keyed.join(stays, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
     return named.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 

@@ -165,7 +165,7 @@ def _leader_links(members: DataFrame, leaders: DataFrame) -> DataFrame:
     return members.join(sets, "cluster").select("id", "elements", "leaders").mapInArrow(tidied(run), "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: str = "") -> DataFrame:
     """(id, n_shingles bigint, component_id bigint, kept boolean) for every input row.
 
     Documents whose sets of five-word shingles have a similarity of 0.75 or
@@ -188,8 +188,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked with nothing. Rows that repeat an id with its text are answered each
     alike; other texts under one id share that id's node. Rows with a null id
     are answered with a null component and kept.
+
+    With ``carry``, a bigint column of ``docs``, that column and the digest of
+    the row's set (null without shingles) are returned too.
     """
-    scan = checkpointed(sketch(docs, id_col, text_col))
+    scan = checkpointed(sketch(docs, id_col, text_col, extra=carry))
     reps = (scan.where("id IS NOT NULL AND n > 0").groupBy("digest")
             .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")))
     reps = checkpointed(reps)
@@ -245,8 +248,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     comps = connected_components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
     classes = reps.select("digest", "rep").join(comps.hint("merge"), "rep", "left") \
         .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    own = scan.select("id", "n", "digest")
+    own = scan.select("id", "n", "digest", *([carry] if carry else []))
     joined = own.join(classes.hint("merge"), "digest", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))
+                         F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"), *([carry, "digest"] if carry else []))

@@ -3,6 +3,7 @@
 import __spark_entry__ as E
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 from test_brute_force import SF, brute_components, brute_repeats, sets_of
 
 from quarry.llm import quality_rules
@@ -54,3 +55,15 @@ def test_stages_on_odd_rows(spark):
         for _name, stage in corpus_pipeline.STAGES:
             got = stage(spark, spark.createDataFrame(given, schema), SF).collect()
             assert {r.doc_id for r in got} <= {r[0] for r in given} and (len(got) <= len(given) or _name == "packing")
+
+
+def test_near_duplicates_judges_each_text_of_an_id(spark):
+    a, b = "one two three four five six seven eight", "nine ten eleven twelve thirteen fourteen fifteen"
+    rows = [(3, a), (5, a), (5, b), (5, b), (5, b.replace(" ", "  ")), (6, "x"), (6, "y"), (6, "y"), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], read_table(spark, SF, "documents").schema)
+    for given in (docs, docs.orderBy(F.desc("text"), "doc_id"), docs.repartition(5)):
+        got = corpus_pipeline.near_duplicates(spark, given, SF)
+        kept = [(r.doc_id, " ".join(r.text.split())) for r in got.collect()]
+        assert got.columns == docs.columns and sorted(kept, key=str) == sorted([(3, a), (5, b), (6, "x"), (6, "y"), (None, a)], key=str)
+    whole = spark.createDataFrame(got.collect(), docs.schema)
+    assert {(r.doc_id, r.text) for r in corpus_pipeline.repeated_passages(spark, whole, SF).collect()} == {(r.doc_id, r.text) for r in whole.collect()}
