@@ -224,15 +224,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         large = checkpointed(sets.where(F.col("size") > SMALL))
         order = Window.partitionBy("cluster").orderBy(F.desc("mates"), "id", "digest")
         leaders = large.select("cluster", "id", "digest", "mates").withColumn("place", F.row_number().over(order)).where(F.col("place") <= LEADERS)
-        leaders = large.join(F.broadcast(leaders.select("cluster", "id", "digest")), ["cluster", "id", "digest"])   # LEADERS ids for each SMALL members at most
+        leaders = large.join(leaders.select("cluster", "id", "digest").hint("merge"), ["cluster", "id", "digest"])
         by_leader = checkpointed(_leader_links(large, leaders))
         comps = connected_components(by_leader)
         members = large.drop("comp").join(comps.select(F.col("node").alias("id"), F.col("component").alias("comp")), "id", "left") \
             .withColumn("comp", F.coalesce("comp", "id"))
-        counts = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"))
+        counts = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))   # one size per cluster
+        salts = F.ceil(F.col("size") / CHUNK_V)   # a cluster's members go to many tasks
         main = counts.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n_v"),
-                                             (F.sum("n") - F.max("n")).alias("n_u"))
-        members = checkpointed(members.join(F.broadcast(main), "cluster"))   # a row for each SMALL members at most
+                                             (F.sum("n") - F.max("n")).alias("n_u"), F.first("size").alias("size"))
+        main = main.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("size")
+        members = checkpointed(members.withColumn("salt", F.pmod(F.xxhash64("id", "digest"), salts))
+                               .join(main.hint("merge"), ["cluster", "salt"]).drop("salt"))
         chunk = lambda per, n: F.pmod(F.xxhash64("id", "digest"), F.greatest(F.lit(1), F.ceil(F.col(n) / per)))
         spread = lambda per, n: F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col(n) / per)) - 1))
         open_ = members.where("n_u > 0")

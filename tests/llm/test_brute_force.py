@@ -136,6 +136,23 @@ def test_near_duplicates_of_a_large_cluster(spark, monkeypatch, small):
     assert got == brute_components({i: sets_of(t) for i, t in rows})
 
 
+def test_large_clusters_broadcast_nothing(spark, monkeypatch):
+    """Leaders and main components grow with the corpus, so they are joined by a merge."""
+    for name, value in (("SMALL", 4), ("LEADERS", 2), ("CHUNK_U", 5), ("CHUNK_V", 7), ("MEMBER_ROWS", 0)):
+        monkeypatch.setattr(minhash, name, value)
+    monkeypatch.setattr(minhash.F, "broadcast", lambda df: pytest.fail("broadcast"))
+    rng = random.Random(7)
+    rows = []
+    for base in range(2):
+        words = [f"w{base}_{k}" for k in range(120)]
+        for k in range(40):
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = f"v{base}_{k}_{rng.random()}"
+            rows.append((len(rows), " ".join(words)))
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == brute_components({i: sets_of(t) for i, t in rows})
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(2)
     error = []
