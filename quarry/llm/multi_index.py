@@ -18,7 +18,8 @@ from quarry.llm.common import checkpointed, tidied
 from quarry.llm.components import connected_components
 
 THRESHOLD = 0.93
-SAMPLE = 4096           # vectors the codebooks and the number of visits are fitted on
+SAMPLE = 4096           # vectors the codebooks are fitted on
+HELD = 2000             # further vectors, unseen by the codebooks, for the number of visits
 PER_CELL = 32           # vectors wished for in a cell of one label
 MAX_CODES = 256
 TARGET = 0.999          # share of pairs at the very threshold that must meet
@@ -51,18 +52,26 @@ class Grid:
 
     def __init__(self, sample: np.ndarray, codes: int, threshold: float = THRESHOLD, target: float = TARGET):
         self.half = sample.shape[1] // 2
+        held = min(HELD, len(sample) // 3)
+        sample, unseen = np.split(sample, [len(sample) - held]) if held else (sample, sample)
         self.books = [codebook(sample[:, :self.half], codes), codebook(sample[:, self.half:], codes)]
         self.codes = codes
         self.visits = codes * codes
-        # partners of the sample at exactly the threshold, in random directions
+        # partners of unseen vectors at exactly the threshold, in random directions
         rng = np.random.default_rng(6)
-        x = sample[:2000]
+        x = np.resize(unseen, (HELD, sample.shape[1]))   # few vectors have several partners
         side = rng.standard_normal(x.shape)
         side = unit(side - (side * x).sum(1, keepdims=True) * x)
         y = threshold * x + np.sqrt(1 - threshold ** 2) * side
-        order_x, order_y = self.visit_order(x), self.visit_order(y)
-        rank = np.minimum((order_x == self.cell(y)[:, None]).argmax(1), (order_y == self.cell(x)[:, None]).argmax(1))
-        self.visits = int(np.sort(rank)[min(len(rank) - 1, int(np.ceil(target * len(rank))))]) + 1
+        rank = np.concatenate([np.minimum(self.rank(x[k:k + 64], y[k:k + 64]), self.rank(y[k:k + 64], x[k:k + 64]))
+                               for k in range(0, HELD, 64)])
+        missed = (1 - target) * HELD
+        missed = max(0, int(missed - 2 * np.sqrt(missed)))   # two standard errors on the safe side
+        self.visits = int(np.sort(rank)[HELD - 1 - missed]) + 1
+
+    def rank(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """The place of y's cell among the cells that x visits."""
+        return (self.visit_order(x) == self.cell(y)[:, None]).argmax(1)
 
     def sums(self, x: np.ndarray) -> np.ndarray:
         """Summed distance of every vector to every cell."""
@@ -217,11 +226,11 @@ def links(vectors: DataFrame, grid: Grid, threshold: float = THRESHOLD) -> DataF
 
 
 def fit(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE) -> Grid | None:
-    """Codebooks on at most ``sample`` vectors of the least id hashes; None without vectors."""
+    """Codebooks on at most ``sample`` vectors, visits on ``HELD`` others, of the least id hashes; None without vectors."""
     n, labels = vectors.agg(F.count(F.lit(1)), F.approx_count_distinct("label")).first()
     if not n:
         return None
-    got = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("x").collect()   # a bounded sample
+    got = vectors.orderBy(F.xxhash64("id"), "id").limit(sample + HELD).select("x").collect()   # a bounded sample
     x = np.array([np.frombuffer(r.x, np.float64) for r in got])
     codes = int(np.clip(np.ceil(np.sqrt(n / max(1, labels) / PER_CELL)), 2, MAX_CODES))
     return Grid(x, codes, threshold)

@@ -251,6 +251,18 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     assert (n <= near.sum(1)).all() and n.sum() >= 0.98 * near.sum()
 
 
+def test_visits_reach_the_target_on_unseen_vectors():
+    """Pairs at the threshold among vectors that took no part in the fit, 64 codewords a half."""
+    rng = np.random.default_rng(9)
+    grid = multi_index.Grid(multi_index.unit(rng.standard_normal((multi_index.SAMPLE, 64))), 64)
+    x = multi_index.unit(rng.standard_normal((4000, 64)))
+    side = rng.standard_normal(x.shape)
+    side = multi_index.unit(side - (side * x).sum(1, keepdims=True) * x)
+    y = 0.93 * x + np.sqrt(1 - 0.93 ** 2) * side
+    met = (grid.visit_order(x) == grid.cell(y)[:, None]).any(1) | (grid.visit_order(y) == grid.cell(x)[:, None]).any(1)
+    assert met.mean() >= 0.998
+
+
 def accuracy(rows):
     return sum(rows) / len(rows)
 
