@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import (chat, html_text, language, minhash, multi_index, packing, pieces, quality_model, quality_rules,
-                        substrings)
+                        substrings, token_counts)
 from quarry.llm.common import held_out, tidied
 from quarry.sources.tables import read_table
 
 CHAT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+COUNT_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 PACK_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 #: A conversation whose texts look like the template.
@@ -149,6 +150,11 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents by rank-synchronous merging."""
+    return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), COUNT_TOKENIZER)
+
+
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the default policy contributes over all documents."""
     return quality_rules.ablations(quality_rules.ledger(read_table(spark, sf_dir, "documents")))
@@ -156,4 +162,4 @@ def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_pieces, op3_repeats, op4_vectors, op5_quality_rules, op6_language, op7_minhash, op8_packing,
-    op9_html, op10_quality_model, quality_ablations)}
+    op9_html, op10_quality_model, op12_token_counts, quality_ablations)}
