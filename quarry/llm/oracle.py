@@ -106,4 +106,21 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.t, d
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT s, min(t) AS t FROM reach GROUP BY s) m ON m.s = d.doc_id
 """
 
-ORACLE = {"op1_chat_format": OP1, "op4_vectors": OP4, "op5_quality_rules": OP5, "op7_minhash": OP7, "quality_ablations": ABLATIONS}
+OP13 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+a AS (SELECT DISTINCT * FROM v WHERE vec_id % 100 = 0),
+s AS (SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same, CAST(list_inner_product(a.e, v.e) AS BIGINT) AS score
+      FROM a JOIN v ON a.vec_id <> v.vec_id OR a.label <> v.label),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER o AS INTEGER) AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+QUALIFY row_number() OVER o <= 10
+"""
+
+ORACLE = {"op1_chat_format": OP1, "op4_vectors": OP4, "op5_quality_rules": OP5, "op7_minhash": OP7, "op13_hard_negatives": OP13, "quality_ablations": ABLATIONS}

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, html_text, language, minhash, multi_index, packing, pieces, quality_model, quality_rules,
+from quarry.llm import (chat, hard_negatives, html_text, language, minhash, multi_index, packing, pieces, quality_model, quality_rules,
                         substrings, token_counts)
 from quarry.llm.common import held_out, tidied
 from quarry.sources.tables import read_table
@@ -155,6 +155,15 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), COUNT_TOKENIZER)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; the labels of every seventh are off by one."""
+    label = F.col("label").cast("bigint")
+    rows = read_table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0).select(
+        "anchor_id", "positive_id", F.col("place").cast("int").alias("rank"), "negative_id", "positive_score", "negative_score")
+
+
 def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each rule of the default policy contributes over all documents."""
     return quality_rules.ablations(quality_rules.ledger(read_table(spark, sf_dir, "documents")))
@@ -162,4 +171,4 @@ def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_pieces, op3_repeats, op4_vectors, op5_quality_rules, op6_language, op7_minhash, op8_packing,
-    op9_html, op10_quality_model, op12_token_counts, quality_ablations)}
+    op9_html, op10_quality_model, op12_token_counts, op13_hard_negatives, quality_ablations)}
