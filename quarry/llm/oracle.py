@@ -106,6 +106,30 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.t, d
 FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT s, min(t) AS t FROM reach GROUP BY s) m ON m.s = d.doc_id
 """
 
+OP11 = """
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+w AS (SELECT row, lang, source, unnest(words) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+l AS (SELECT lang, sum(n) AS n, count(*) AS v FROM k GROUP BY lang),
+g AS (SELECT lang, source, sum(c.n) AS n FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL) c USING (lang, source) GROUP BY lang, source),
+c AS (SELECT lang, source, term, count(*) AS n FROM w GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + CAST(1000000000 AS HUGEINT) * (coalesce(c.n, 0) + 5) // (coalesce(g.n, 0) + 5 * l.v) AS p,
+             1 + CAST(1000000000 AS HUGEINT) * (k.n + 5) // (l.n + 5 * l.v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST(p - q AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT *, CAST(row_number() OVER o AS INTEGER) AS rank FROM r
+WINDOW o AS (PARTITION BY lang, source, part ORDER BY value DESC, item) QUALIFY part = 'pair' OR row_number() OVER o <= 50
+"""
+
 OP13 = """
 WITH v AS (
     SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
@@ -123,4 +147,4 @@ WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
 QUALIFY row_number() OVER o <= 10
 """
 
-ORACLE = {"op1_chat_format": OP1, "op4_vectors": OP4, "op5_quality_rules": OP5, "op7_minhash": OP7, "op13_hard_negatives": OP13, "quality_ablations": ABLATIONS}
+ORACLE = {"op1_chat_format": OP1, "op4_vectors": OP4, "op5_quality_rules": OP5, "op7_minhash": OP7, "op11_source_divergence": OP11, "op13_hard_negatives": OP13, "quality_ablations": ABLATIONS}

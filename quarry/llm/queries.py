@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import (chat, hard_negatives, html_text, language, minhash, multi_index, packing, pieces, quality_model, quality_rules,
-                        substrings, token_counts)
+from quarry.llm import (chat, divergence, hard_negatives, html_text, language, minhash, multi_index, packing, pieces, quality_model,
+                        quality_rules, substrings, token_counts)
 from quarry.llm.common import held_out, tidied
 from quarry.sources.tables import read_table
 
@@ -150,6 +150,11 @@ def op10_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.classify(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the sources of each language differ in their terms, over all documents."""
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents by rank-synchronous merging."""
     return token_counts.count_tokens(read_table(spark, sf_dir, "documents"), COUNT_TOKENIZER)
@@ -171,4 +176,4 @@ def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_format, op2_pieces, op3_repeats, op4_vectors, op5_quality_rules, op6_language, op7_minhash, op8_packing,
-    op9_html, op10_quality_model, op12_token_counts, op13_hard_negatives, quality_ablations)}
+    op9_html, op10_quality_model, op11_source_divergence, op12_token_counts, op13_hard_negatives, quality_ablations)}
