@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -15,10 +13,10 @@ from quarry.operators import linear as L
 from quarry.operators import sampling as SA
 from quarry.operators import series as S
 from quarry.operators import trees as TR
-from quarry.session import ensure_checkpoint_dir, local_frame, persisted
+from quarry.session import local_frame, persisted, remove_shared, shared_path
 from quarry.sources.tables import spread
-from quarry.sources.standins import (EVENT_SLOTS, PARTICLE_FEATURES, REGRESSION_INPUTS,
-                                     REGRESSION_TARGETS, cover_table, event_series_nested,
+from quarry.sources.standins import (COVER_NAMES, COVER_NOMINAL, EVENT_SLOTS, PARTICLE_FEATURES, REGRESSION_INPUTS,
+                                     REGRESSION_TARGETS, cover_features, cover_table, event_series_nested,
                                      particle_table, regression_table)
 
 DEC = 6
@@ -30,6 +28,7 @@ K, RUNS, KMEANS_SEED, CONVERGE = 5, 25, 60295531, 0.1
 MAX_ITER = 100
 SWEEP_PARALLELISM = 3    # depths fitted at once; each fit of the stand-in is small
 MODEL_GRID = ((3, 0.5), (6, 0.3), (6, 0.5))
+TARGET_ERROR = 0.2745    # the error below which the reference stops searching
 DERIVE_PAIR = ("click", "view")        # stand-ins for the two temperature series
 CONCAT_MEASUREMENTS = ("click", "view", "purchase")
 
@@ -275,30 +274,43 @@ def q_kmeans_best(spark, sf_dir):
 # ---- trees ------------------------------------------------------------------------
 
 def _cover_split(spark, sf_dir):
-    c = spread(cover_table(spark, sf_dir))
+    c = spread(cover_features(spark, sf_dir))
     d = c.select("vec_id", FE.binarize_class(F.col("label"), COVER_CLASS).alias("label"),
-                 array_to_vector("embedding").alias("features"))
-    return SA.split_by_weights(d, "vec_id", SPLIT_WEIGHTS)
+                 array_to_vector("features").alias("features"))
+    return TR.declare_features(SA.split_by_weights(d, "vec_id", SPLIT_WEIGHTS), COVER_NAMES, COVER_NOMINAL)
 
 
 def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test")):
     p = spread(particle_table(spark, sf_dir))
     lab = FE.to_labeled(p.withColumn("label", FE.binarize_threshold(F.col("label"))), F.col("label"), PARTICLE_FEATURES)
-    return SA.split_by_weights(lab, "key", weights, names)
+    return TR.declare_features(SA.split_by_weights(lab, "key", weights, names), PARTICLE_FEATURES)
+
+
+#: Data sets and the bins of their learners, (boosting, forest), as in the reference.
+TREE_DATA = {"cover": (_cover_split, 20, 10), "particle": (_particle_split, 32, 32)}
 
 
 def _fit(data, learner):
     return TR.pipeline(learner).fit(data.where(F.col("split") == "train"))
 
 
+def _per_data_set(spark, run):
+    parts = [run(name, *how).withColumn("data_set", F.lit(name)) for name, how in TREE_DATA.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def q_gbt_train(spark, sf_dir):
-    d = _cover_split(spark, sf_dir)
-    return TR.error_rates(_fit(d, TR.gbt(3, max_bins=20)), d)
+    def run(_, data, bins, __):
+        d = data(spark, sf_dir)
+        return TR.error_rates(_fit(d, TR.gbt(3, max_bins=bins)), d)
+    return _per_data_set(spark, run)
 
 
 def q_rf_train(spark, sf_dir):
-    d = _cover_split(spark, sf_dir)
-    return TR.error_rates(_fit(d, TR.rf(6, max_bins=10)), d)
+    def run(_, data, __, bins):
+        d = data(spark, sf_dir)
+        return TR.error_rates(_fit(d, TR.rf(6, max_bins=bins)), d)
+    return _per_data_set(spark, run)
 
 
 def q_tree_predict(spark, sf_dir):
@@ -319,14 +331,14 @@ def q_mismatched(spark, sf_dir):
 
 
 def _sweep(spark, sf_dir):
-    """Both learners' sweeps over one persisted split, run side by side."""
-    with persisted(_cover_split(spark, sf_dir)) as d:
-        with ThreadPoolExecutor(max_workers=2) as pool:
+    """Both learners' sweeps over both data sets, each over one persisted split."""
+    def run(_, data, gbt_bins, rf_bins):
+        with persisted(data(spark, sf_dir)) as d, ThreadPoolExecutor(max_workers=2) as pool:
             g = pool.submit(TR.depth_sweep, spark, d, "gbt", TR.GBT_DEPTHS,
-                            parallelism=SWEEP_PARALLELISM, persist=False, max_bins=20)
-            f = pool.submit(TR.depth_sweep, spark, d, "rf", TR.RF_DEPTHS,
-                            parallelism=SWEEP_PARALLELISM, persist=False, max_bins=10)
+                            parallelism=SWEEP_PARALLELISM, persist=False, max_bins=gbt_bins)
+            f = pool.submit(TR.depth_sweep, spark, d, "rf", TR.RF_DEPTHS, persist=False, max_bins=rf_bins)
             return g.result().unionByName(f.result())
+    return _per_data_set(spark, run)
 
 
 def q_depth_sweep(spark, sf_dir):
@@ -337,17 +349,24 @@ def q_curve_sorted(spark, sf_dir):
     return TR.curve_sorted(_sweep(spark, sf_dir))
 
 
+def q_compare_curves(spark, sf_dir):
+    return TR.compare_curves(_sweep(spark, sf_dir))
+
+
 def q_select_model(spark, sf_dir):
     d = _particle_split(spark, sf_dir, (0.6, 0.2, 0.2), ("train", "validation", "test"))
-    return TR.select_model(spark, d, MODEL_GRID)
+    return TR.select_model(spark, d, MODEL_GRID, target_error=TARGET_ERROR)
 
 
 def q_sink_model(spark, sf_dir):
+    """Errors of a model after it was saved and loaded; the saved copy is removed again."""
     d = _cover_split(spark, sf_dir)
-    m = _fit(d, TR.gbt(3, max_bins=20))
-    path = os.path.join(ensure_checkpoint_dir(spark), "models", f"gbt-{uuid.uuid4().hex}")
-    TR.save_model(m, path)
-    return TR.error_rates(TR.load_model(path), d)
+    path = shared_path(spark, "models")
+    try:
+        TR.save_model(_fit(d, TR.gbt(3, max_bins=20)), path)
+        return TR.error_rates(TR.load_model(path), d)
+    finally:
+        remove_shared(path)
 
 
 QUERIES = {
@@ -393,7 +412,7 @@ QUERIES = {
     "mismatched": q_mismatched,
     "depth_sweep": q_depth_sweep,
     "curve_sorted": q_curve_sorted,
-    "compare_curves": q_curve_sorted,
+    "compare_curves": q_compare_curves,
     "select_model": q_select_model,
     "sink_model": q_sink_model,
 }

@@ -117,3 +117,16 @@ def cover_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(vec_id, label, embedding)``: class code and 64 numeric features."""
     return read_table(spark, sf_dir, "embeddings").select(
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding"))
+
+
+# Stand-in for the wide class table, in its layout: 10 continuous columns, then 44 binary ones.
+COVER_CONTINUOUS, COVER_BINARY = 10, 44
+COVER_NAMES = [f"c{i}" for i in range(COVER_CONTINUOUS)] + [f"b{i}" for i in range(COVER_BINARY)]
+COVER_NOMINAL = {COVER_CONTINUOUS + i: 2 for i in range(COVER_BINARY)}
+
+
+def cover_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(vec_id, label, features ARRAY)``: components as they are, then the signs of others as indicators."""
+    e = F.col("embedding")
+    signs = F.transform(F.slice(e, COVER_CONTINUOUS + 1, COVER_BINARY), lambda x: (x > 0).cast("double"))
+    return cover_table(spark, sf_dir).select("vec_id", "label", F.concat(F.slice(e, 1, COVER_CONTINUOUS), signs).alias("features"))
