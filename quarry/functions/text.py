@@ -33,7 +33,7 @@ _W = r"\p{L}\p{N}_"
 _D = r"\p{Nd}"
 _AZ = "A-Za-z"
 # URL body characters: '!', every ASCII character from '$' to '_', a-z.
-_URL_BODY = r"[!\x{24}-\x{5F}a-z]"
+_URL_BODY = "[!$-_a-z]"
 _URL_HEAD = r"[hH][tT][tT][pP][sS]?://"
 
 # Token classes in priority order; at each position the first that matches wins.
@@ -131,9 +131,14 @@ def _code_point_to_char(n: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once: bound as the variable of a one-element array."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def unescape_entities(text: Column) -> Column:
     """Replace HTML entities with characters, as the reference's tokenizer does."""
-    # 1. numeric entities, e.g. "&#8230;"; out-of-range numbers stay as text
+    # numeric entities, e.g. "&#8230;"; out-of-range numbers stay as text
     pieces = F.regexp_extract_all(text, F.lit(f"{NUMERIC_ENTITY_REGEX}|&|[^&]+"), 0)
 
     def decode_numeric(p: Column) -> Column:
@@ -143,23 +148,28 @@ def unescape_entities(text: Column) -> Column:
                  & ~n.between(0xD800, 0xDFFF))
         return F.when(valid, _code_point_to_char(n)).otherwise(p)
 
-    step1 = F.array_join(F.transform(pieces, decode_numeric), "")
-    step1 = F.when(F.instr(text, "&#") > 0, step1).otherwise(text)
+    numeric = F.array_join(F.transform(pieces, decode_numeric), "")
+    numeric = F.when(F.instr(text, "&#") > 0, numeric).otherwise(text)
+    return let(numeric, _unescape_named)
+
 
-    # 2. named entities other than &amp;. The reference touches named entities
-    # only when the text holds one besides &amp;; then every known one becomes
-    # its character and every &amp; becomes " and ". Only entity pieces are
-    # looked up (a literal map is searched key by key).
+def _unescape_named(text: Column) -> Column:
+    """Named entities of a text whose numeric ones are decoded.
+
+    They are touched only when the text holds one besides &amp;; then every
+    known one becomes its character and every &amp; becomes " and ". Only
+    entity pieces are looked up (a literal map is searched key by key).
+    """
     table = named_entity_table()
     entity_map = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
-    others = F.exists(F.regexp_extract_all(step1, F.lit(NAMED_ENTITY_REGEX), 0),
+    others = F.exists(F.regexp_extract_all(text, F.lit(NAMED_ENTITY_REGEX), 0),
                       lambda e: e != F.lit(AMP_ENTITY))
-    pieces2 = F.regexp_extract_all(step1, F.lit(f"{NAMED_ENTITY_REGEX}|&|[^&]+"), 0)
-    step2 = F.array_join(F.transform(pieces2, lambda p: F.when(
+    pieces = F.regexp_extract_all(text, F.lit(f"{NAMED_ENTITY_REGEX}|&|[^&]+"), 0)
+    named = F.array_join(F.transform(pieces, lambda p: F.when(
         p.startswith("&") & p.endswith(";") & (p != F.lit(AMP_ENTITY)),
         F.coalesce(F.element_at(entity_map, p), p)).otherwise(p)), "")
-    step3 = F.replace(step2, F.lit(AMP_ENTITY), F.lit(AMP_REPLACEMENT))
-    return F.when((F.instr(step1, "&") > 0) & others, step3).otherwise(step1)
+    spoken = F.replace(named, F.lit(AMP_ENTITY), F.lit(AMP_REPLACEMENT))
+    return F.when((F.instr(text, "&") > 0) & others, spoken).otherwise(text)
 
 
 def tokenize(text: Column, preserve_case_regex: str | None = PRESERVE_CASE_REGEX) -> Column:

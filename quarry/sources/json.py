@@ -16,8 +16,23 @@ POST_SCHEMA = T.StructType([
 
 def parse_json_records(lines: DataFrame, value_col: str = "value",
                        schema: T.StructType = POST_SCHEMA) -> DataFrame:
-    """Parse each line; unparsable lines and non-objects give a NULL struct."""
-    return lines.select(F.from_json(F.col(value_col), schema, {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}).alias("p"))
+    """One ``p`` struct a line; NULL unless the whole line is a single JSON object.
+
+    ``from_json`` ignores what follows a value. So a line is parsed inside an
+    array, where text behind the object shows as a second element or an
+    error unless it closes the array, and inside an object, where it is an
+    error unless it closes that object. Only a single whole object passes
+    both. A generator binds the two results, so each is evaluated once a line
+    however often ``p`` is used.
+    """
+    strict = {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    line = F.col(value_col)
+    as_array = F.from_json(F.concat(F.lit("["), line, F.lit("]")), T.ArrayType(schema), strict)
+    as_member = F.from_json(F.concat(F.lit('{"v":'), line, F.lit("}")),
+                            T.StructType([T.StructField("v", T.StructType([schema.fields[0]]))]), strict)
+    both = lines.select(F.explode(F.array(F.struct(as_array.alias("a"), as_member.alias("m")))).alias("both"))
+    whole = (F.size("both.a") == 1) & F.col("both.m.v").isNotNull()
+    return both.select(F.when(whole, F.col("both.a")[0]).alias("p"))
 
 
 def is_post(parsed: Column) -> Column:

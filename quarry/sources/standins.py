@@ -32,19 +32,36 @@ def post_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.unionByName(turns)
 
 
+#: What makes a line with a post on it no record: text behind the object, another object, a wrapping, an early end.
+NEAR_MISSES = ("{0} garbage", "{0}{0}", "{0},{0}", "{0}]", "{0}] x", "{0}}} x", '{0},"w":{{"v":1', "[{0}]", '"w":{0}', "{0}}}", "'{0}'", "{0", "x {0}")
+
+
 def post_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``value STRING`` lines as a post stream delivers them.
 
     Posts become JSON objects with ``id_str``, ``text`` and ``user.id_str``;
     ``events.props`` lines are valid JSON that are not posts (like limit
-    notices); ``benchmark.text`` lines are not JSON at all.
+    notices); ``benchmark.text`` lines are not JSON at all, and each
+    benchmark item also comes as the lines of ``NEAR_MISSES``.
     """
-    posts = post_records(spark, sf_dir).select(F.to_json(F.struct(
-        F.col("post_id").alias("id_str"), F.col("text"),
-        F.struct(F.col("user_id").alias("id_str")).alias("user"))).alias("value"))
+    def as_json(post_id, text, user_id):
+        return F.to_json(F.struct(post_id.alias("id_str"), text.alias("text"), F.struct(user_id.alias("id_str")).alias("user")))
+
+    posts = post_records(spark, sf_dir).select(as_json(F.col("post_id"), F.col("text"), F.col("user_id")).alias("value"))
     notices = read_table(spark, sf_dir, "events").select(F.col("props").alias("value"))
-    broken = read_table(spark, sf_dir, "benchmark").select(F.col("text").alias("value"))
-    return posts.unionByName(notices).unionByName(broken)
+    items = read_table(spark, sf_dir, "benchmark")
+    broken = items.select(F.col("text").alias("value"))
+    whole = as_json(F.concat(F.lit("b"), F.col("item_id").cast("string")), F.col("text"), F.lit("nobody"))
+    head = F.expr("substring(j, 1, length(j) - 1)")
+    misses = [head if form == "{0" else F.concat(*_filled(form, F.col("j"))) for form in NEAR_MISSES]
+    near = items.select(whole.alias("j")).select(F.explode(F.array(*misses)).alias("value"))
+    return posts.unionByName(notices).unionByName(broken).unionByName(near)
+
+
+def _filled(form: str, value) -> list:
+    """The parts of a format string with ``value`` where it has {0}."""
+    parts = [F.lit(p.replace("{{", "{").replace("}}", "}")) for p in form.split("{0}")]
+    return [x for p in parts[:-1] for x in (p, value)] + parts[-1:]
 
 
 def user_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
