@@ -191,8 +191,8 @@ def q_index_to_point(spark, sf_dir):
 
 def q_nearest_center(spark, sf_dir):
     centres, _ = _seeds(spark, sf_dir)
-    a = C.assign(_points(spark, sf_dir), centres)
-    return a.select(F.col("id").alias("vec_id"), F.posexplode("nearest").alias("run", "near")).select(
+    a = C.kmeans_assign(_points(spark, sf_dir), centres)
+    return a.select(F.col("id").alias("vec_id"), F.posexplode(F.arrays_zip(F.col("labels").alias("j"), F.col("d2"))).alias("run", "near")).select(
         "vec_id", "run", F.col("near.j").alias("j"), r(F.col("near.d2")).alias("d2"))
 
 
