@@ -123,6 +123,8 @@ WHERE rnk <= {Q.TOP_NGRAMS}"""),
     "project_field": _w(POSTS, "SELECT user_id, text FROM posts"),
     "scan_user_groups": _w(POSTS, "SELECT user_id, group_id FROM grp"),
     "distinct_users": _w(POSTS, "SELECT count(DISTINCT user_id) AS n_users FROM posts"),
+    "distinct_users_sketch": _w(POSTS, """SELECT group_id, count(DISTINCT user_id) AS n_users, true AS within FROM posts_g GROUP BY group_id
+UNION ALL SELECT -1, count(DISTINCT user_id), true FROM posts"""),
     "user_to_group": _w(POSTS, "SELECT post_id, user_id, group_id FROM posts_g"),
     "posts_per_group": _w(POSTS, "SELECT group_id, count(*) AS n_posts FROM posts_g GROUP BY group_id ORDER BY group_id"),
     "unescape_entities": _w(POSTS, "SELECT post_id, unescaped FROM unesc WHERE strpos(text, '&') > 0"),

@@ -72,6 +72,11 @@ def _utok(spark, sf_dir):
     return P.user_tokens(_posts_grouped(spark, sf_dir))
 
 
+def _utok_all(spark, sf_dir):
+    """Users' tokens for jobs that do not ask for the group: no join."""
+    return P.user_tokens(_posts(spark, sf_dir))
+
+
 def _kept(utok):
     return P.min_support(P.token_users(utok), STANDIN_MIN_USERS)
 
@@ -104,6 +109,21 @@ def q_distinct_users(spark, sf_dir):
     return P.distinct_users(_posts(spark, sf_dir))
 
 
+SKETCH_BOUND = 0.05      # four standard errors
+
+
+def q_distinct_users_sketch(spark, sf_dir):
+    """Users per group and overall (group -1), and whether the sketches' estimates are within the bound of them."""
+    posts = _posts_grouped(spark, sf_dir)
+    sketches = P.user_sketches(posts)
+    exact = (posts.groupBy("group_id").agg(F.countDistinct("user_id").alias("n_users"))
+             .unionByName(P.distinct_users(posts).withColumn("group_id", F.lit(-1))))
+    guess = (P.estimated_users(sketches, "group_id")
+             .unionByName(P.estimated_users(sketches).withColumn("group_id", F.lit(-1))).withColumnRenamed("n_users", "guess"))
+    return exact.join(guess, "group_id").select(
+        "group_id", "n_users", (F.abs(F.col("guess") - F.col("n_users")) <= SKETCH_BOUND * F.col("n_users")).alias("within"))
+
+
 def q_user_to_group(spark, sf_dir):
     return _posts_grouped(spark, sf_dir).select("post_id", "user_id", "group_id")
 
@@ -122,23 +142,28 @@ def q_tokenize_posts(spark, sf_dir):
 
 
 def q_user_tokens(spark, sf_dir):
-    return _utok(spark, sf_dir).select("user_id", "token")
+    return _utok_all(spark, sf_dir).select("user_id", "token")
 
 
 def q_distinct_tokens(spark, sf_dir):
-    return P.distinct_tokens(_utok(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_tokens"))
+    return P.distinct_tokens(_utok_all(spark, sf_dir)).agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
 def q_token_users(spark, sf_dir):
-    return P.token_users(_utok(spark, sf_dir))
+    return P.token_users(_utok_all(spark, sf_dir))
 
 
 def q_min_support(spark, sf_dir):
-    return _kept(_utok(spark, sf_dir))
+    return _kept(_utok_all(spark, sf_dir))
 
 
 def q_top_tokens(spark, sf_dir):
-    return P.top_tokens(_kept(_utok(spark, sf_dir)), TOP_TOKENS)
+    return P.top_tokens(_kept(_utok_all(spark, sf_dir)), TOP_TOKENS)
+
+
+def q_token_totals(spark, sf_dir):
+    utok = _utok(spark, sf_dir)
+    return P.token_totals(utok, _kept(utok))
 
 
 def q_group_token_users(spark, sf_dir):
@@ -174,6 +199,7 @@ QUERIES = {
     "project_field": q_project_field,
     "scan_user_groups": q_scan_user_groups,
     "distinct_users": q_distinct_users,
+    "distinct_users_sketch": q_distinct_users_sketch,
     "user_to_group": q_user_to_group,
     "posts_per_group": q_posts_per_group,
     "groups_sorted": q_posts_per_group,
@@ -187,7 +213,7 @@ QUERIES = {
     "group_token_users": q_group_token_users,
     "semi_kept_tokens": q_semi_kept_tokens,
     "in_kept_tokens": q_semi_kept_tokens,
-    "token_totals": q_group_token_users,
+    "token_totals": q_token_totals,
     "rel_popularity": q_rel_popularity,
     "top_tokens_per_group": q_top_tokens_per_group,
     "by_group": q_top_tokens_per_group,

@@ -70,3 +70,26 @@ def test_equal_popularity_ties_are_alphabetical(spark):
                                 "group_id int, token string, c_k bigint, c_all bigint")
     top = P.top_tokens_per_group(gtu, 10).orderBy("rnk").collect()
     assert [r.token for r in top] == ["mid", "alpha", "zeta"]
+
+
+def test_user_sketches_merge_and_stay_within_their_error(spark):
+    from quarry.operators import posts as P
+    rows = spark.range(60_000).selectExpr("CAST(id % 3 AS INT) AS group_id", "concat('u', id % 20000) AS user_id")
+    sketches = P.user_sketches(rows).persist()
+    each = {r.group_id: r.n_users for r in P.estimated_users(sketches, "group_id").collect()}
+    total = P.estimated_users(sketches).first().n_users
+    assert len(each) == 3 and all(abs(n - 20000) <= 0.05 * 20000 for n in each.values())    # 3 and 20,000 share no factor
+    assert abs(total - 20000) <= 0.05 * 20000
+    merged = P.estimated_users(sketches.unionByName(sketches)).first().n_users
+    assert merged == total          # merging a sketch twice changes nothing
+    few = P.user_sketches(spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, None)], "group_id int, user_id string"))
+    assert P.estimated_users(few).first().n_users == 2
+    exact = P.distinct_users(rows).first().n_users
+    assert exact == 20000
+
+
+def test_totals_by_join_equal_the_window(spark):
+    from quarry.operators import posts as P
+    utok = spark.createDataFrame([(f"u{i}", i % 3, t) for i in range(30) for t in ("a", "b", "c")[:1 + i % 3]], "user_id string, group_id int, token string")
+    kept = P.min_support(P.token_users(utok), 11)
+    assert sorted(P.token_totals(utok, kept).collect()) == sorted(P.group_token_users(utok, 11).collect())

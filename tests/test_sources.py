@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+
 from quarry.sources import csv as CSV
 from quarry.sources import text as TX
 
@@ -16,19 +18,49 @@ def test_paragraph_source_splits_at_crlf_crlf(spark):
     assert rows == ["First para line one.\r\nline two. Next", "Second para", "Third"]
 
 
-def test_manifest_lists_trimmed_paths(spark):
-    d = tempfile.mkdtemp(prefix="quarry-src-")
-    files = []
-    for i in range(2):
-        fp = os.path.join(d, f"part{i}.txt")
-        with open(fp, "w") as f:
-            f.write(f'{{"n": {i}}}\nline{i}\n')
-        files.append(fp)
-    man = os.path.join(d, "manifest.txt")
-    with open(man, "w") as f:
-        f.write("".join(f"  {fp}  \n" for fp in files))
-    assert TX.read_manifest_paths(spark, man) == files
-    assert TX.scan_manifest_lines(spark, man).count() == 4
+@pytest.mark.parametrize("group", [1, 7, 40, 1 << 16])
+def test_manifest_source(spark, tmp_path, group):
+    want, names = [], []
+    for i in range(5):
+        folder = tmp_path / f"d{i % 2}" / "x y"
+        folder.mkdir(parents=True, exist_ok=True)
+        lines = [f'{{"n": {i}}}', "", f"line é {i}"]
+        (folder / f"part{i}.txt").write_text("\r\n".join(lines) if i == 3 else "\n".join(lines) + "\n")
+        want += lines
+        names.append((f"  {folder}/part{i}.txt\t", f"file://{folder}/part{i}.txt".replace(" ", "%20"), f"d{i % 2}/x y/part{i}.txt")[i % 3])
+    manifest = tmp_path / "manifest.txt"
+    manifest.write_text("\n" + "\n\n".join(names))
+    got = TX.scan_manifest_lines(spark, str(manifest), group=group)
+    assert sorted(r.value for r in got.collect()) == sorted(want) and got.columns == ["value"]
+    assert got.rdd.getNumPartitions() == -(-manifest.stat().st_size // group)
+    manifest.write_text(manifest.read_text() + "\nnowhere.txt\n")
+    with pytest.raises(Exception, match="nowhere"):
+        TX.scan_manifest_lines(spark, str(manifest), group=group).collect()
+    assert TX.scan_manifest_lines(spark, str(manifest), group=group, missing="skip").count() == len(want)
+
+
+def test_manifest_read_by_spark(spark, tmp_path):
+    (tmp_path / "a").write_text("1\n2\n")
+    manifest = tmp_path / "m"
+    manifest.write_text(f"  {tmp_path}/a  \n\n")
+    assert TX.read_manifest_paths(spark, str(manifest)) == [f"{tmp_path}/a"]
+    assert TX.scan_manifest_lines(spark, str(manifest), listed=True).count() == 2
+    manifest.write_text("")
+    assert TX.scan_manifest_lines(spark, str(manifest)).count() == 0
+
+
+def test_csv_rejects_do_not_depend_on_the_columns_read(spark, tmp_path):
+    names = ["a", "b", "c"]
+    lines = ["1,2,3", " 4 , 5.5 ,6", "x,2,3", "1,2,x", "1,2", "1,2,3,4", "", "   ", ",,", "7,8,9e2"]
+    (tmp_path / "t.csv").write_text("\n".join(lines) + "\n")
+    good, bad = CSV.scan_numeric_csv_rejects(spark, str(tmp_path), names)
+    assert [tuple(r) for r in good.collect()] == [(1.0, 2.0, 3.0), (4.0, 5.5, 6.0), (None, None, None), (7.0, 8.0, 900.0)]
+    assert [r.line for r in bad.collect()] == ["x,2,3", "1,2,x", "1,2", "1,2,3,4"]
+    for cols in (["a"], ["b"], ["c"], ["c", "a"]):
+        assert good.select(*cols).count() == len(good.select(*cols).collect()) == 4
+    assert good.count() == 4 and bad.count() == 4
+    with pytest.raises(Exception):
+        CSV.scan_numeric_csv(spark, str(tmp_path), names).collect()
 
 
 def test_numeric_csv_with_blanks(spark):
