@@ -68,3 +68,13 @@ def to_labeled(df: DataFrame, label: Column, feature_cols: list[str], out: str =
     asm = VectorAssembler(inputCols=feature_cols, outputCol=out, handleInvalid="keep")
     return asm.transform(df.withColumn("label", label.cast("double"))).select("label", out, *[
         c for c in df.columns if c not in feature_cols and c != "label"])
+
+
+def pair_predictions(labels: DataFrame, predictions: DataFrame, key: str) -> DataFrame:
+    """``labels`` with the ``prediction`` of the same key; labels without one are left out.
+
+    Both tables must have a key once. A join by key pairs the same rows
+    however the two tables are partitioned or were recomputed, which a zip by
+    position cannot promise.
+    """
+    return labels.join(predictions.select(key, "prediction"), key)

@@ -27,6 +27,7 @@ SPLIT_WEIGHTS = (0.7, 0.3)
 K, RUNS, KMEANS_SEED, CONVERGE = 5, 25, 60295531, 0.1
 MAX_ITER = 100
 SWEEP_PARALLELISM = 3    # depths fitted at once; each fit of the stand-in is small
+RULE_YEAR = 1997
 MODEL_GRID = ((3, 0.5), (6, 0.3), (6, 0.5))
 TARGET_ERROR = 0.2745    # the error below which the reference stops searching
 DERIVE_PAIR = ("click", "view")        # stand-ins for the two temperature series
@@ -156,16 +157,21 @@ def q_linreg_gram(spark, sf_dir):
                           F.round(v / F.pow(F.lit(10.0), expo), SIG_DIGITS - 1).alias("mantissa"))
 
 
+COEF_DEC = 4     # the intercepts are about 40,000
+
+
 def q_linreg_fit(spark, sf_dir):
-    return _linreg(spark, sf_dir)["coefficients"]
+    return _linreg(spark, sf_dir)["coefficients"].select("target", "feature", r(F.col("coef"), COEF_DEC).alias("coef"))
 
 
 def q_linreg_score(spark, sf_dir):
-    return _linreg(spark, sf_dir)["scores"]
+    s = _linreg(spark, sf_dir)["scores"]
+    return s.select("target", *[r(F.col(c)).alias(c) for c in ("r2_train", "r2_test")])
 
 
 def q_linreg_ablation(spark, sf_dir):
-    return _linreg(spark, sf_dir)["ablation"]
+    a = _linreg(spark, sf_dir)["ablation"]
+    return a.select("target", "removed", *[r(F.col(c)).alias(c) for c in ("drop_train", "drop_test")])
 
 
 # ---- clustering ---------------------------------------------------------------
@@ -238,7 +244,8 @@ def q_kmeans_multi(spark, sf_dir):
 
 def q_max_shift(spark, sf_dir):
     res = _kmeans(spark, sf_dir)
-    return local_frame(spark, [(i + 1, float(s)) for i, s in enumerate(res["shifts"])], "iteration int, max_shift double")
+    rows = [(i + 1, round(float(s), DEC)) for i, s in enumerate(res["shifts"])]
+    return local_frame(spark, rows, "iteration int, max_shift double")
 
 
 def _labels(spark, sf_dir):
@@ -253,22 +260,25 @@ def q_kmeans_assign(spark, sf_dir):
 
 def q_run_cost(spark, sf_dir):
     _, lab = _labels(spark, sf_dir)
-    return C.run_cost(lab)
+    return C.run_cost(lab).select("run", r(F.col("cost")).alias("cost"))
 
 
 def q_cost_summary(spark, sf_dir):
     _, lab = _labels(spark, sf_dir)
-    return C.cost_summary(C.run_cost(lab))
+    s = C.cost_summary(C.run_cost(lab))
+    return s.select(*[r(F.col(c)).alias(c) for c in ("log2_max", "log2_min", "log2_mean")], "best_run")
 
 
 def q_signature_entropy(spark, sf_dir):
     _, lab = _labels(spark, sf_dir)
-    return C.signature_entropy(lab, RUNS)
+    e = C.signature_entropy(lab, RUNS)
+    return e.select("i", r(F.col("entropy")).alias("entropy"), r(F.col("effective")).alias("effective"))
 
 
 def q_kmeans_best(spark, sf_dir):
     res, lab = _labels(spark, sf_dir)
-    return C.kmeans_best(spark, res["centres"], C.run_cost(lab))
+    best = C.kmeans_best(spark, res["centres"], C.run_cost(lab))
+    return best.select("run", "j", F.transform("center", lambda x: r(x)).alias("center"))
 
 
 # ---- trees ------------------------------------------------------------------------
@@ -319,15 +329,28 @@ def q_tree_predict(spark, sf_dir):
     return m.transform(d).select("key", "split", "label", "prediction")
 
 
+def _rule_scored(spark, sf_dir):
+    """Labels and the rule's predictions of one table side by side, as a model's ``transform`` has them."""
+    p = SA.split_by_weights(particle_table(spark, sf_dir), "key", SPLIT_WEIGHTS)
+    return p.select("key", "split", "label", (F.col("ship_year") <= RULE_YEAR).cast("double").alias("prediction"))
+
+
+def q_zip_predictions(spark, sf_dir):
+    """Labels and a rule's predictions of two tables paired by row key (the reference pairs them by position)."""
+    c = cover_table(spark, sf_dir)
+    labels = SA.split_by_weights(c, "vec_id", SPLIT_WEIGHTS).select(
+        "vec_id", "split", FE.binarize_class(F.col("label"), COVER_CLASS).alias("label"))
+    predictions = c.select("vec_id", (F.col("embedding")[0] > 0).cast("double").alias("prediction"))
+    return FE.pair_predictions(labels, predictions, "vec_id")
+
+
 def q_error_rate(spark, sf_dir):
-    d = _particle_split(spark, sf_dir)
-    return TR.error_rates(_fit(d, TR.gbt(3)), d)
+    e = TR.prediction_errors(_rule_scored(spark, sf_dir))
+    return e.select("split", r(F.col("error")).alias("error"), "n")
 
 
 def q_mismatched(spark, sf_dir):
-    d = _particle_split(spark, sf_dir)
-    p = _fit(d, TR.gbt(3)).transform(d)
-    return p.groupBy("split").agg(F.sum((F.col("label") != F.col("prediction")).cast("int")).alias("n_mismatched"))
+    return TR.mismatched(_rule_scored(spark, sf_dir)).groupBy("split").agg(F.count(F.lit(1)).alias("n_mismatched"))
 
 
 def _sweep(spark, sf_dir):
@@ -407,7 +430,7 @@ QUERIES = {
     "gbt_train": q_gbt_train,
     "rf_train": q_rf_train,
     "tree_predict": q_tree_predict,
-    "zip_predictions": q_tree_predict,
+    "zip_predictions": q_zip_predictions,
     "error_rate": q_error_rate,
     "mismatched": q_mismatched,
     "depth_sweep": q_depth_sweep,
