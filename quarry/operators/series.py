@@ -13,6 +13,9 @@ Scale notes
   (one slots x slots block per measurement per partition, computed with
   numpy matrix products in ``mapInPandas``) and summed by (measurement, i, j);
   no pairs of rows or slots are emitted per series.
+- Tables with a row per measurement (limits, means with their vectors) are
+  read by the driver and sent to the series as checked broadcasts, so no
+  series is dealt out by measurement, of which there are few.
 - The eigen-decomposition runs per measurement in ``applyInPandas`` on the
   slots x slots covariance rows, a group whose size is fixed by the number of
   slots and does not grow with the data.
@@ -22,16 +25,23 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.functions.vectors import nan_to_null
+from quarry.operators.joins import bounded_broadcast
+from quarry.session import local_frame
 
 SERIES_KEYS = ["station", "measurement", "year"]
-# Accuracy of the sketch that cuts a measurement's values into cells for the
-# exact ranks; it decides how many values are ranked, never the result.
-QUANTILE_ACCURACY = 10_000
+# Leading bits of a value's key counted at each level of the exact ranks, and
+# the size of a cell from which on the rest is counted at once. They decide
+# how many counts a task holds, never the result.
+KEY_BITS = (24, 20, 20)
+SMALL_CELL = 1 << 20
+MAX_MEASUREMENTS = 100_000   # rows of a table by measurement that are broadcast
 #: Percentiles in thousandths, so that ranks are exact integers.
 PERMILLE = {"low1000": 1, "low100": 10, "high100": 990, "high1000": 999}
 
@@ -84,49 +94,120 @@ def slot_mean_band(stats: DataFrame) -> DataFrame:
                         (F.col("mean") - sd).alias("lower"), (F.col("mean") + sd).alias("upper"))
 
 
-def scalar_stats(series: DataFrame, accuracy: int = QUANTILE_ACCURACY) -> DataFrame:
-    """``(measurement, mean, std, low1000, low100, high100, high1000)``.
+def ordered_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit keys in the order of the doubles."""
+    bits = (values + 0.0).view(np.int64)        # -0.0 and 0.0 are one value
+    return np.where(bits < 0, ~bits, bits | np.int64(-1 << 63)).view(np.uint64)
+
+
+def value_of_key(key: int) -> float:
+    bits = key ^ (1 << 63) if key >> 63 else key ^ ((1 << 64) - 1)
+    return float(np.array([bits], np.uint64).view(np.float64)[0])
+
+
+_CELLS = "measurement string, prefix bigint, cell bigint, cnt bigint"
+
+
+def _cell_counts(series: DataFrame, known: int, bits: int) -> DataFrame:
+    """``(measurement, prefix, cell, cnt)``: values by the ``bits`` of their key behind the first ``known`` ones.
+
+    With ``known`` bits only values whose leading bits are in the column
+    ``prefixes`` count. Tasks count on Arrow batches, the counts are partially
+    aggregated before they move.
+    """
+    def count(batches):
+        for b in batches:
+            values = b.column("values")
+            lens = pc.fill_null(values.value_lengths(), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = values.flatten().to_numpy(zero_copy_only=False).astype("float64")
+            names = b.column("measurement").dictionary_encode()
+            codes = pc.fill_null(names.indices, len(names.dictionary)).to_numpy(zero_copy_only=False).astype(np.int64)
+            own = np.repeat(codes, lens)[~np.isnan(flat)]
+            key = ordered_keys(flat[~np.isnan(flat)])
+            found = []
+            for code in np.unique(own).tolist():
+                k = key[own == code]
+                for prefix in (b.column("prefixes")[int(np.argmax(codes == code))].as_py() if known else [0]):
+                    part = k[(k >> np.uint64(64 - known)) == np.uint64(prefix)] if known else k
+                    cell, n = np.unique((part << np.uint64(known)) >> np.uint64(64 - bits), return_counts=True)
+                    found.append((names.dictionary[code].as_py() if code < len(names.dictionary) else None, prefix, cell, n))
+            for name, prefix, cell, n in found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(cell), pa.string()), pa.array([prefix] * len(cell), pa.int64()),
+                     pa.array(cell.astype(np.int64)), pa.array(n)], ["measurement", "prefix", "cell", "cnt"])
+
+    cols = ["measurement", "values"] + (["prefixes"] if known else [])
+    return series.select(*cols).mapInArrow(count, _CELLS).groupBy("measurement", "prefix", "cell").agg(F.sum("cnt").alias("cnt"))
+
+
+def _exact_ranks(series: DataFrame, bits: tuple[int, ...], small: int) -> dict:
+    """``{measurement: {name: value}}`` of the percentiles.
+
+    Each level counts the values by the next bits of their ordered keys and
+    keeps, per rank, the cell that holds it: at most one cell per measurement
+    and percentile comes to the driver.
+    """
+    spark = series.sparkSession
+    ranks = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("name"), F.greatest(F.lit(1), F.expr(f"(n * {p} + 999) div 1000")).alias("rank"))
+        for name, p in PERMILLE.items()])).alias("r")
+    known, found, todo = 0, {}, list(bits)
+    picks = None
+    while todo:
+        now = todo.pop(0)
+        if known and max(p.cnt for p in picks) <= small:
+            now, todo = 64 - known, []
+        of = Window.partitionBy("measurement", "prefix")
+        if known:
+            by_name: dict = {}
+            for p in picks:
+                by_name.setdefault(p.measurement, []).append((p.name, found[p.measurement][p.name], p.rank))
+            wanted = local_frame(spark, [(m, sorted({x[1] for x in own})) for m, own in by_name.items()], "of string, prefixes array<bigint>")
+            wanted = bounded_broadcast(wanted, MAX_MEASUREMENTS)
+            at = local_frame(spark, [(m, q, name, rank) for m, own in by_name.items() for name, q, rank in own],
+                             "of string, at bigint, name string, rank bigint")
+            cells = _cell_counts(series.join(wanted, F.col("measurement").eqNullSafe(F.col("of"))), known, now)
+            cells = cells.withColumn("upto", F.sum("cnt").over(of.orderBy("cell"))).join(
+                bounded_broadcast(at, MAX_MEASUREMENTS * len(PERMILLE)), F.col("measurement").eqNullSafe(F.col("of")) & (F.col("prefix") == F.col("at")))
+            rank = F.col("rank")
+        else:
+            cells = _cell_counts(series, 0, now)
+            cells = (cells.withColumn("upto", F.sum("cnt").over(of.orderBy("cell"))).withColumn("n", F.sum("cnt").over(of))
+                     .select("measurement", "cell", "cnt", "upto", ranks).withColumn("name", F.col("r.name")))
+            rank = F.col("r.rank")
+        picks = (cells.where((rank <= F.col("upto")) & (rank > F.col("upto") - F.col("cnt")))
+                 .select("measurement", "name", "cell", "cnt", (rank - F.col("upto") + F.col("cnt")).alias("rank")).collect())
+        if not picks:
+            return {}
+        for p in picks:
+            own = found.setdefault(p.measurement, {})
+            own[p.name] = (own.get(p.name, 0) << now) | p.cell
+        known += now
+    return {m: {name: value_of_key(key) for name, key in own.items()} for m, own in found.items()}
+
+
+def scalar_stats(series: DataFrame, bits: tuple[int, ...] = KEY_BITS, small: int = SMALL_CELL) -> DataFrame:
+    """``(measurement, mean, std, low1000, low100, high100, high1000)``, one row per measurement, known to the driver.
 
     low/high 100 are the 1st/99th and low/high 1000 the 0.1th/99.9th
-    percentiles: the value of rank ceil(p * n), exactly, for any n. A sketch
-    gives two cuts around each percentile (cuts of equal width would leave
-    all values in one cell beside an outlier); the values between cuts are
-    counted, and only the cells that hold a rank, a few n / ``accuracy``
-    values each, are counted by value and ranked. Cells cover all values, so
-    a sketch that errs makes a cell larger and no rank wrong.
+    percentiles: the value of rank ceil(p * n), exactly, for any n. The
+    values are read once for mean and deviation, once by the leading bits of
+    their ordered keys, and once (or, in very full cells, twice) for the rest
+    of the bits in the cells that hold a rank.
     """
     v = slot_values(series)
-    around = sorted(min(max(p / 1000 + side * 2 / accuracy, 0.0), 1.0) for p in PERMILLE.values() for side in (-1, 1))
-    totals = v.groupBy("measurement").agg(
-        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("value", F.array(*[F.lit(p) for p in around]), accuracy).alias("cuts"))
-    # one row per measurement, as in value_histogram
-    cuts = totals.select(F.col("measurement").alias("of"), "cuts")
-    celled = (v.join(cuts, F.col("measurement").eqNullSafe(F.col("of")))
-              .select("measurement", "value", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("cell")))
+    totals = v.groupBy("measurement").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")).collect()
+    found = _exact_ranks(series, bits, small) if totals else {}
+    rows = [(t.measurement, t["mean"], t["std"], *[found[t.measurement][name] for name in PERMILLE]) for t in totals]
+    return local_frame(series.sparkSession, rows, "measurement string, mean double, std double, "
+                       + ", ".join(f"{name} double" for name in PERMILLE))
 
-    ranks = F.explode(F.array(*[
-        F.struct(F.lit(name).alias("name"), F.greatest(F.lit(1), F.expr(f"(n * {p} + 999) div 1000")).alias("rank"))
-        for name, p in PERMILLE.items()]))
-    below = Window.partitionBy("measurement").orderBy("cell")   # as many rows as cells
-    cells = (celled.groupBy("measurement", "cell").agg(F.count(F.lit(1)).alias("cnt"))
-             .withColumn("upto", F.sum("cnt").over(below)))
-    wanted = (cells.select(F.col("measurement").alias("of"), F.col("cell").alias("at"), "cnt", "upto")
-              .join(totals.select("measurement", ranks.alias("r")), F.col("of").eqNullSafe(F.col("measurement")))
-              .where((F.col("r.rank") <= F.col("upto")) & (F.col("r.rank") > F.col("upto") - F.col("cnt")))
-              .groupBy("of", "at")
-              .agg(F.collect_list(F.struct("r.name", (F.col("r.rank") - F.col("upto") + F.col("cnt")).alias("rank"))).alias("ranks")))
-
-    within = Window.partitionBy("measurement", "cell").orderBy("value")
-    picked = (celled.join(wanted, F.col("measurement").eqNullSafe(F.col("of")) & (F.col("cell") == F.col("at")))
-              .groupBy("measurement", "cell", "value").agg(F.count(F.lit(1)).alias("cnt"), F.first("ranks").alias("ranks"))
-              .withColumn("upto", F.sum("cnt").over(within))
-              .select("measurement", "value", "cnt", "upto", F.explode("ranks").alias("r"))
-              .where((F.col("r.rank") <= F.col("upto")) & (F.col("r.rank") > F.col("upto") - F.col("cnt")))
-              .groupBy(F.col("measurement").alias("of"))
-              .agg(*[F.max(F.when(F.col("r.name") == name, F.col("value"))).alias(name) for name in PERMILLE]))
-    return (totals.join(picked, F.col("measurement").eqNullSafe(F.col("of")))
-            .select("measurement", "mean", "std", *PERMILLE))
+
+def in_range(series: DataFrame, scalars: DataFrame) -> DataFrame:
+    """Present values in [low100, high100] of their measurement, both ends kept, with the limits."""
+    lims = bounded_broadcast(scalars.select("measurement", "low100", "high100"), MAX_MEASUREMENTS)
+    v = slot_values(series).join(lims, "measurement")
+    return v.where(F.col("value").between(F.col("low100"), F.col("high100")))
 
 
 def value_histogram(series: DataFrame, scalars: DataFrame, bins: int = 100) -> DataFrame:
@@ -134,11 +215,7 @@ def value_histogram(series: DataFrame, scalars: DataFrame, bins: int = 100) -> D
 
     Bin b covers [lo + b*w, lo + (b+1)*w); the upper end falls in the last bin.
     """
-    # One row per measurement, produced by an aggregate: AQE sees its real
-    # size when that stage ends and broadcasts it (no extra pass to count it).
-    lims = scalars.select("measurement", "low100", "high100")
-    v = slot_values(series).join(lims, "measurement")
-    v = v.where(F.col("value").between(F.col("low100"), F.col("high100")))
+    v = in_range(series, scalars)
     width = F.col("high100") - F.col("low100")
     b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("low100")) / width * bins),
                                   F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
@@ -149,12 +226,14 @@ def uneven_stations(series: DataFrame, threshold: float) -> DataFrame:
     """Stations whose number of measurements per slot varies more than ``threshold``.
 
     Counts are zero-filled (every series has every slot) before the
-    population variance over slots is taken.
+    population variance over slots is taken, from whole-number sums, so that
+    a station at the threshold is never let in by rounding.
     """
     v = slot_values(series, keep_missing=True)
     present = (F.col("value").isNotNull() & ~F.isnan("value")).cast("int")
     per_slot = v.groupBy("station", "slot").agg(F.sum(present).alias("n"))
-    return (per_slot.groupBy("station").agg(F.var_pop("n").alias("count_var"))
+    m, s, ss = F.count(F.lit(1)), F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    return (per_slot.groupBy("station").agg(((m * ss - s * s) / (m * m)).alias("count_var"))
             .where(F.col("count_var") > threshold))
 
 
@@ -281,15 +360,16 @@ def top_eigvecs(basis: DataFrame, k: int = 3) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _model(stats: DataFrame, basis: DataFrame, k: int) -> DataFrame:
-    """One row per measurement: mean vector and the top-k eigenvectors."""
-    mean = (stats.groupBy("measurement")
-            .agg(F.sort_array(F.collect_list(F.struct("slot", "mean"))).alias("sm"))
-            .select("measurement", F.transform("sm", lambda e: e["mean"]).alias("mean_vec")))
-    vecs = (basis.where(F.col("k") <= k).groupBy("measurement")
-            .agg(F.sort_array(F.collect_list(F.struct("k", "eigvec"))).alias("kv"))
-            .select("measurement", F.transform("kv", lambda e: e["eigvec"]).alias("eigvecs")))
-    # one row per measurement from aggregates; broadcast by AQE from its runtime size
-    return mean.join(vecs, "measurement")
+    """One row per measurement: mean vector and the top-k eigenvectors (slots x (k + 1) numbers, read by the driver)."""
+    means: dict = {}
+    for row in stats.select("measurement", "slot", "mean").collect():
+        means.setdefault(row.measurement, []).append((row.slot, row["mean"]))
+    vecs: dict = {}
+    for row in basis.where(F.col("k") <= k).select("measurement", "k", "eigvec").collect():
+        vecs.setdefault(row.measurement, []).append((row.k, row.eigvec))
+    rows = [(m, [v for _, v in sorted(means[m])], [v for _, v in sorted(own)]) for m, own in vecs.items() if m in means]
+    model = local_frame(stats.sparkSession, rows, "measurement string, mean_vec array<double>, eigvecs array<array<double>>")
+    return bounded_broadcast(model, MAX_MEASUREMENTS)
 
 
 def project_coeffs(series: DataFrame, stats: DataFrame, basis: DataFrame, k: int = 3) -> DataFrame:
@@ -331,9 +411,13 @@ def reconstruction_error(series: DataFrame, stats: DataFrame, basis: DataFrame,
     return r.where(F.col("j") == k).select(*keys, "error")
 
 
+def drop_nan_error(errors: DataFrame) -> DataFrame:
+    return errors.where(F.col("error").isNotNull() & ~F.isnan("error"))
+
+
 def extreme_residuals(errors: DataFrame, n: int = 2) -> DataFrame:
     """The n lowest and n highest non-NULL errors of each measurement."""
-    e = errors.where(F.col("error").isNotNull() & ~F.isnan("error"))
+    e = drop_nan_error(errors)
     keys = [c for c in errors.columns if c != "error"]
     lo = Window.partitionBy("measurement").orderBy(F.col("error").asc(), *[F.col(c) for c in keys])
     hi = Window.partitionBy("measurement").orderBy(F.col("error").desc(), *[F.col(c) for c in keys])

@@ -97,7 +97,7 @@ def test_require_length_fails_on_wrong_length(spark):
     assert S.require_length(frame(spark), 4).count() == 5
 
 
-def test_quantiles_are_exact_above_the_sketch_accuracy(spark):
+def test_quantiles_are_exact_on_many_values(spark):
     n = 40_003
     rows = spark.range(n).select(F.col("id").alias("station"), F.lit("T").alias("measurement"), F.lit(2000).alias("year"),
                                  F.array(F.when(F.col("id") == 0, 1e12).otherwise(F.pmod(F.xxhash64("id"), F.lit(30_011)) / 7.0),
@@ -106,9 +106,49 @@ def test_quantiles_are_exact_above_the_sketch_accuracy(spark):
     rows = rows.withColumn("station", F.col("station").cast("string")).unionByName(few)
     x = sorted(r.value for r in S.slot_values(rows).where("measurement = 'T'").select("value").collect())
     want = [x[-(-n * p // 1000) - 1] for p in (1, 10, 990, 999)]
-    for accuracy in (S.QUANTILE_ACCURACY, 50):   # a coarse sketch changes no value
-        scal = S.scalar_stats(rows, accuracy)
+    for how in ({}, {"bits": (6, 28, 30), "small": 0}, {"bits": (33, 31), "small": 10}):   # how cells are cut changes no value
+        scal = S.scalar_stats(rows, **how)
         got = {r.measurement: [r.low1000, r.low100, r.high100, r.high1000] for r in scal.collect()}
         assert got == {"T": want, None: [4.0, 4.0, 5.0, 5.0]}
     h = S.value_histogram(rows, scal).where("measurement = 'T'").agg(F.sum("cnt")).first()[0]
     assert h == sum(want[1] <= v <= want[2] for v in x)
+
+
+def test_keys_keep_the_order_of_doubles():
+    x = np.array([-np.inf, -1e300, -2.5, -1e-310, -0.0, 0.0, 1e-310, 0.1, 2.5, 1e300, np.inf])
+    keys = S.ordered_keys(x)
+    assert (np.diff(keys.astype(object)) >= 0).all() and keys[4] == keys[5] and len(set(keys.tolist())) == 10
+    assert [S.value_of_key(int(k)) for k in keys] == x.tolist()
+
+
+def test_negative_values_ties_and_short_series(spark):
+    rows = [("s", "T", 2000, [-3.0, -3.0, float("nan"), None]), ("t", "T", 2000, []), ("u", "T", 2000, [0.0, -0.0, 7.5]), ("v", "E", 2000, [None])]
+    scal = S.scalar_stats(spark.createDataFrame(rows, frame(spark).schema))
+    assert [tuple(r) for r in scal.select("measurement", "low1000", "low100", "high100", "high1000").collect()] == [("T", -3.0, -3.0, 7.5, 7.5)]
+    assert S.scalar_stats(frame(spark).limit(0)).collect() == []
+
+
+def test_no_series_is_dealt_by_measurement(spark):
+    s = frame(spark)
+    stats, basis, scal = S.slot_stats(s), S.series_pca(s), S.scalar_stats(s)
+    for df in (S.in_range(s, scal), S.project_coeffs(s, stats, basis), S.reconstruction_error(s, stats, basis)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan, plan
+
+
+def test_scan_opens_only_the_leaves_it_lists(spark, tmp_path):
+    from quarry.sources import files as FI
+    nested = frame(spark).groupBy("station").agg(F.collect_list(F.struct("measurement", "year", "values")).alias("years"))
+    nested.write.parquet(str(tmp_path / "s"))
+    few = FI.scan_station_series(spark, str(tmp_path / "s"), ("measurement", "year"))
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.index("ReadSchema"):]
+    assert "measurement" in schema and "year" in schema and "values" not in schema, schema
+    assert sorted(map(tuple, few.collect())) == sorted(r[:3] for r in ROWS)
+    whole = FI.scan_station_series(spark, str(tmp_path / "s")).collect()
+    assert sorted(map(tuple, whole), key=str) == sorted(ROWS, key=str)
+    p = spark.createDataFrame([("a", [1.0], [2.0], [3.0], 0.0, 0.0, 0.0, 0.0), ("b", [1.0], None, [3.0], 0.0, 0.0, 0.0, 0.0)], FI.STATION_PROJECTIONS)
+    p.write.parquet(str(tmp_path / "p"))
+    got = FI.scan_station_projections(spark, str(tmp_path / "p"))
+    assert [tuple(r) for r in got.collect()] == [("a", [1.0, 2.0, 3.0])]
+    assert "latitude" not in got._jdf.queryExecution().executedPlan().toString()
