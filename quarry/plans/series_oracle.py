@@ -59,7 +59,7 @@ WHERE v.value BETWEEN s.low100 AND s.high100 GROUP BY v.measurement"""),
   SELECT station, (count(*) * sum(n * n) - sum(n) * sum(n)) / CAST(count(*) * count(*) AS DOUBLE) AS count_var FROM (
     SELECT station, slot, sum(CASE WHEN v IS NOT NULL THEN 1 ELSE 0 END) AS n FROM grid GROUP BY station, slot)
   GROUP BY station) WHERE count_var > {Q.UNEVEN_THRESHOLD}"""),
-    "reconstruct_full": _w(f"""SELECT station, measurement, year, list(round(coalesce(v, mean), {D}) ORDER BY slot) AS rebuilt
+    "reconstruct_full": _w(f"""SELECT station, measurement, year, list(round(coalesce(v, mean) + {Q.OFF_TIE}, {D}) ORDER BY slot) AS rebuilt
 FROM grid JOIN (SELECT measurement, slot, avg(value) AS mean FROM vals GROUP BY measurement, slot) USING (measurement, slot)
 GROUP BY station, measurement, year"""),
     "drop_nan_error": _w(f"""SELECT measurement, count(*) AS n_kept FROM series

@@ -13,6 +13,7 @@ from quarry.sources.standins import EVENT_SLOTS, event_cells, event_series_neste
 DEC = 6
 UNEVEN_THRESHOLD = 0.25
 RECON_K = 3
+OFF_TIE = 1e-8    # means of a few decimals often end in a 5 where they are rounded
 PROJECTED = ("click", "purchase", "view")
 
 
@@ -169,7 +170,7 @@ def q_reconstruct_full(spark, sf_dir):
     """Rebuilt from all eigenvectors: the series themselves, with the mean in missing slots."""
     s, st, b = _recon_inputs(spark, sf_dir)
     rc = S.reconstruct(s, st, b, EVENT_SLOTS).where(F.col("j") == EVENT_SLOTS)
-    return rc.select("station", "measurement", "year", F.transform("rebuilt", lambda x: r(x)).alias("rebuilt"))
+    return rc.select("station", "measurement", "year", F.transform("rebuilt", lambda x: r(x + OFF_TIE)).alias("rebuilt"))
 
 
 def q_reconstruction_error(spark, sf_dir):
