@@ -17,17 +17,19 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections import deque
 from collections.abc import Iterator
 from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import texts_of, tidied
-from quarry.llm.idtable import IdTable, gather, split_at
+from quarry.llm.idtable import IdTable, split_at
 
 SIZE = 4096
 END_ID = 2
@@ -35,23 +37,32 @@ SENTENCE_PENALTY = 8     # in ids of padding: a cut between sentences of one doc
 HARD_PENALTY = 48        # a cut inside a sentence
 HARD_STEP = 64           # distance of the cuts offered inside a long stretch
 STREAM_BYTES = 2 << 20   # text packed as one stream inside a task
-#: Signs that are one id run behind letters, and words of small letters up to U+024F.
-TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-SIMPLE = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff\u0100-\u024f]+").fullmatch
+LOW = 0x180             # texts of characters below (Latin) are cut into units here, others word by word by the library
 NONE = np.zeros(0, np.int32), np.zeros(0, np.int64)
-JOIN = 500              # distinct words encoded in one call
+JOIN = 500              # distinct units encoded in one call
+UNITS = 240_000         # distinct units kept per task
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, ids binary")
 
 
+def _unit_pattern() -> re.Pattern:
+    """The tokenizer's own cut of lower-cased text, its classes written out for characters below ``LOW``.
+
+    Fixed value: contractions, runs of letters, single numbers, runs of other signs; white space is dropped.
+    """
+    letter, number, space = ("".join(re.escape(chr(c)) for c in range(LOW) if regex.match(name, chr(c))) for name in (r"\p{L}", r"\p{N}", r"\s"))
+    return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{space}{letter}{number}]+")
+
+
 class WordEncoder:
     """Ids of texts whose tokenizer never joins ids across white space.
 
-    Distinct words are encoded once: a word of letters by the tokenizer's
-    merges alone, a full stop or comma behind it added as the id it always
-    has there, any other word by the whole library. Texts with a special
-    token's opening (which the library looks for first) are encoded whole.
+    A text is cut into units as the tokenizer cuts it, and distinct units are
+    encoded once: runs of letters by the tokenizer's merges alone, the few
+    others by the whole library. A word with characters from ``LOW`` on is one
+    unit for the library. Texts with a special token's opening (which the
+    library looks for first) are encoded whole.
     """
 
     def __init__(self, tokenizer_json: bytes, end_id: int = END_ID):
@@ -72,49 +83,56 @@ class WordEncoder:
             word = piece.removesuffix("</w>")
             if piece.endswith("</w>") and word and set(word) <= set(".!?") and i < len(self.sentence_end):
                 self.sentence_end[i] = True
-        self.table = IdTable(self._learn, {"": [], "\n": [end_id]})
+        self.find = _unit_pattern().findall
+        self.high = re.compile(f"[{chr(LOW)}-{chr(sys.maxunicode)}]").search
+        self.table = IdTable(self._learn, {"": [], "\n": [end_id]}, UNITS)
 
     def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of letters, by the merges over their bytes."""
         parts = [NONE]
         for k in range(0, len(words), JOIN):
             own = [w if w.isascii() else w.encode().decode("latin-1").translate(self.bytes_as) for w in words[k:k + JOIN]]
-            ids = np.array(self.merges.encode(" \u0120 ".join(own) + " \u0120").ids, np.int32)
+            ids = np.array(self.merges.encode_batch_fast([" \u0120 ".join(own) + " \u0120"])[0].ids, np.int32)
             parts.append(split_at(ids, self.mark, len(own)))
         return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
 
-    def _whole(self, words: list[str], skip: int = 0) -> tuple[np.ndarray, np.ndarray]:
-        """The library's ids of each word, without the first ``skip``."""
-        ids = [e.ids[skip:] for e in self.tok.encode_batch_fast(words, add_special_tokens=False)] if words else []
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of each word."""
+        ids = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)] if words else []
         return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
 
-    def _learn(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        bases = [w.rstrip(TAIL) for w in words]
-        simple = [SIMPLE(b) is not None and (b.isascii() or is_normalized("NFC", b) and b == b.lower()) for b in bases]
-        letters = dict.fromkeys(b for b, s in zip(bases, simple, strict=True) if s)
-        tails = dict.fromkeys(w[len(b):] for b, w, s in zip(bases, words, simple, strict=True) if s)
-        rest = [w for w, s in zip(words, simple, strict=True) if not s]
-        units = [self._letters(list(letters)), self._whole(["a" + t for t in tails], 1), self._whole(rest)]
-        ids, lens = (np.concatenate(x) for x in zip(*units, (np.zeros(0, np.int32), np.zeros(1, np.int64)), strict=True))
-        for at, names in ((0, letters), (len(letters), tails)):
-            names.update(zip(names, range(at, at + len(names)), strict=True))
-        other, empty = iter(range(len(letters) + len(tails), len(lens))), len(lens) - 1
-        pair = np.array([(letters[b], tails[w[len(b):]]) if s else (next(other), empty)
-                         for b, w, s in zip(bases, words, simple, strict=True)], np.int64).reshape(-1, 2)
-        return gather(ids, lens, pair.ravel()), lens[pair].sum(1)
-
-    def _words(self, text: str) -> list[str]:
+    def _learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((u.isalpha() and u.islower() and self.high(u) is None for u in units), bool, len(units))
+        order = np.argsort(~plain, kind="stable")
+        n = int(plain.sum())
+        ids, lens = (np.concatenate(x) for x in zip(self._letters([units[i] for i in order[:n].tolist()]),
+                                                    self._whole([units[i] for i in order[n:].tolist()]), strict=True))
+        back = np.argsort(order)
+        own = lens[back]
+        stop = np.cumsum(own)
+        first = (np.cumsum(lens) - lens)[back]
+        return ids[np.arange(len(ids)) + np.repeat(first - (stop - own), own)], own
+
+    def _low_units(self, text: str) -> list[str] | None:
+        if text.isascii() or self.high(text) is None and is_normalized("NFC", text):
+            return self.find(text.lower())
+        return None
+
+    def _units(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text if text != "\n" else "", "\n"]
-        if "Σ" not in text:   # the library lower-cases letter by letter
-            text = text.lower()
-        words = text.replace("\n", " ").split(" ")
-        words.append("\n")   # stands for the end id
-        return words
+        units = self._low_units(text)
+        if units is None:
+            units = []
+            for word in text.replace("\n", " ").split(" "):
+                low = self._low_units(word)
+                units += [word] if low is None else low
+        units.append("\n")   # stands for the end id
+        return units
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text (end id included)."""
-        return self.table([self._words(t.decode()) for t in texts])
+        return self.table([self._units(t.decode()) for t in texts])
 
 
 def boundaries(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, step: int = HARD_STEP) -> tuple[np.ndarray, np.ndarray]:
