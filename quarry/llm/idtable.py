@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -70,7 +70,7 @@ class IdTable:
         if len(self.newer.index) > self.limit // 2:
             self.older = self.newer
             self._begin()
-        coded = pa.array([c for one in lists for c in one], pa.large_string()).dictionary_encode()
+        coded = pa.array(list(chain.from_iterable(lists)), pa.large_string()).dictionary_encode()
         chunks = coded.dictionary.to_pylist()     # few of many: Arrow finds the distinct ones
         known = np.fromiter(map(self.newer.index.get, chunks, repeat(-1)), np.int64, len(chunks))
         gaps = np.flatnonzero(known < 0)

@@ -15,6 +15,7 @@ lengths that are powers of two, which need no padding.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -29,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.llm.common import texts_of, tidied
-from quarry.llm.idtable import IdTable, split_at
+from quarry.llm.idtable import IdTable
+from quarry.llm.token_counts import PairRanks, merge_symbols
 
 SIZE = 4096
 END_ID = 2
@@ -39,7 +41,8 @@ HARD_STEP = 64           # distance of the cuts offered inside a long stretch
 STREAM_BYTES = 2 << 20   # text packed as one stream inside a task
 LOW = 0x180             # texts of characters below (Latin) are cut into units here, others word by word by the library
 NONE = np.zeros(0, np.int32), np.zeros(0, np.int64)
-JOIN = 500              # distinct units encoded in one call
+JOIN = 20_000           # distinct units merged at once
+LONG = 100              # letters; the library encodes longer runs
 UNITS = 240_000         # distinct units kept per task
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
@@ -59,25 +62,22 @@ class WordEncoder:
     """Ids of texts whose tokenizer never joins ids across white space.
 
     A text is cut into units as the tokenizer cuts it, and distinct units are
-    encoded once: runs of letters by the tokenizer's merges alone, the few
-    others by the whole library. A word with characters from ``LOW`` on is one
+    encoded once: runs of letters by the tokenizer's merges, all at once, the
+    few others by the whole library. A word with characters from ``LOW`` on is one
     unit for the library. Texts with a special token's opening (which the
     library looks for first) are encoded whole.
     """
 
     def __init__(self, tokenizer_json: bytes, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # a task has one core
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer
         self.tok = Tokenizer.from_buffer(tokenizer_json)
         added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.special = {t[:2] for t in added}
-        self.merges = Tokenizer(self.tok.model)   # no normalizer, words split at spaces
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.mark = self.merges.encode("\u0120").ids[0]   # what a space would be; words hold none
-        shown = {bytes([b]): pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(chr(b))[0][0]
-                 for b in range(33, 127)}
-        rest = iter(range(256, 512))   # bytes without a printable sign of their own are shown from U+0100 on
-        self.bytes_as = {b: b if chr(b).encode() in shown or 0xA1 <= b <= 0xAC or b >= 0xAE else next(rest) for b in range(256)}
+        model = json.loads(tokenizer_json)["model"]
+        self.ranks = PairRanks(model["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]])
+        sign = {i: piece for piece, i in model["vocab"].items()}
+        self.last = np.array([model["vocab"][sign[i] + (model["end_of_word_suffix"] or "")] for i in self.ranks.byte.tolist()], np.int64)
         self.sentence_end = np.zeros(self.tok.get_vocab_size() + 1, bool)
         for piece, i in self.tok.get_vocab().items():
             word = piece.removesuffix("</w>")
@@ -91,9 +91,8 @@ class WordEncoder:
         """Ids of words of letters, by the merges over their bytes."""
         parts = [NONE]
         for k in range(0, len(words), JOIN):
-            own = [w if w.isascii() else w.encode().decode("latin-1").translate(self.bytes_as) for w in words[k:k + JOIN]]
-            ids = np.array(self.merges.encode_batch_fast([" \u0120 ".join(own) + " \u0120"])[0].ids, np.int32)
-            parts.append(split_at(ids, self.mark, len(own)))
+            ids, lens = merge_symbols([w.encode() for w in words[k:k + JOIN]], self.ranks, self.last)
+            parts.append((ids.astype(np.int32), lens))
         return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
 
     def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -102,7 +101,7 @@ class WordEncoder:
         return np.array([i for x in ids for i in x], np.int32), np.array([len(x) for x in ids], np.int64)
 
     def _learn(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((u.isalpha() and u.islower() and self.high(u) is None for u in units), bool, len(units))
+        plain = np.fromiter((u.isalpha() and len(u) <= LONG and (u.isascii() or self.high(u) is None) for u in units), bool, len(units))
         order = np.argsort(~plain, kind="stable")
         n = int(plain.sum())
         ids, lens = (np.concatenate(x) for x in zip(self._letters([units[i] for i in order[:n].tolist()]),

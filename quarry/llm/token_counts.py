@@ -30,6 +30,8 @@ LIMIT = 200_000        # distinct pre-tokens that a task remembers; the older ha
 LONG = 256             # symbols; longer sequences are merged one by one
 SEGMENT = 1 << 20      # characters of a text cut into pre-tokens at once
 NEVER = np.iinfo(np.int32).max
+SLOT_BITS = 19
+SLOTS = 1 << SLOT_BITS
 #: Fixed value: how byte-level vocabularies cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 FAST_TOP = 0x2C00      # texts below this code point are cut by the standard module, which is faster
@@ -97,14 +99,26 @@ class PairRanks:
         order = np.argsort(left * self.size + right)
         self.key, self.rank, self.made = (left * self.size + right)[order], order.astype(np.int32), made
         self.parts = left, right
+        # most pairs are found by their slot; slots that several share send theirs to the sorted keys
+        slot = self._slot(self.key)
+        self.slot_key, self.slot_rank = np.full(SLOTS, -1, np.int64), np.full(SLOTS, NEVER, np.int32)
+        self.slot_key[slot], self.slot_rank[slot] = self.key, self.rank
+        self.crowded = np.bincount(slot, minlength=SLOTS) > 1
+
+    @staticmethod
+    def _slot(key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
 
     def __call__(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair, ``NEVER`` where no merge joins it."""
-        if not len(self.key):
-            return np.full(len(left), NEVER, np.int32)
         want = left * self.size + right
-        at = np.minimum(np.searchsorted(self.key, want), len(self.key) - 1)
-        return np.where(self.key[at] == want, self.rank[at], NEVER).astype(np.int32)
+        slot = self._slot(want)
+        out = np.where(self.slot_key[slot] == want, self.slot_rank[slot], NEVER).astype(np.int32)
+        other = np.flatnonzero(self.crowded[slot] & (out == NEVER))
+        if len(other):
+            at = np.minimum(np.searchsorted(self.key, want[other]), len(self.key) - 1)
+            out[other] = np.where(self.key[at] == want[other], self.rank[at], NEVER)
+        return out
 
 
 def every_other(hits: np.ndarray, follows: np.ndarray) -> np.ndarray:
@@ -122,8 +136,30 @@ def merge_counts(chunks: list[bytes], ranks: PairRanks) -> np.ndarray:
         out[i] = merge_long(ranks.byte[np.frombuffer(chunks[i], np.uint8)], ranks)
     own = np.flatnonzero((lens > 0) & (lens <= LONG))
     sym = ranks.byte[np.frombuffer(b"".join([chunks[i] for i in own.tolist()]), np.uint8)]
-    lens = lens[own]
-    seq = np.repeat(np.arange(len(own)), lens)
+    for seq, size, _ in merge_rounds(sym, lens[own], ranks):
+        out[own[seq]] = size
+    return out
+
+
+def merge_symbols(chunks: list[bytes], ranks: PairRanks, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of short byte strings one after another, and their numbers; ``last`` has the symbols of last bytes."""
+    lens = np.fromiter(map(len, chunks), np.int64, len(chunks))
+    data = np.frombuffer(b"".join(chunks), np.uint8)
+    sym = ranks.byte[data]
+    ends = np.cumsum(lens) - 1
+    sym[ends] = last[data[ends]]
+    count = np.zeros(len(chunks), np.int64)
+    seqs, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for seq, size, symbols in merge_rounds(sym, lens, ranks):
+        count[seq] = size
+        seqs.append(np.repeat(seq, size))
+        found.append(symbols)
+    return np.concatenate(found)[np.argsort(np.concatenate(seqs), kind="stable")], count
+
+
+def merge_rounds(sym: np.ndarray, lens: np.ndarray, ranks: PairRanks) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Merge the ragged sequences (none empty), a round for all; yields (sequences, sizes, symbols) of those that are done."""
+    seq = np.repeat(np.arange(len(lens)), lens)
     last = np.zeros(len(sym), bool)
     last[np.cumsum(lens) - 1] = True
     rank = np.full(len(sym), NEVER, np.int32)     # of the pair of a symbol and the next one of its sequence
@@ -135,12 +171,12 @@ def merge_counts(chunks: list[bytes], ranks: PairRanks) -> np.ndarray:
         low = np.minimum.reduceat(rank, start)
         size = stop - start
         done = low == NEVER
-        out[own[seq[start[done]]]] = size[done]
+        keep = np.repeat(~done, size)
+        yield seq[start[done]], size[done], sym[~keep]
         hits = np.flatnonzero((rank == np.repeat(low, size)) & (rank != NEVER))
         hits = every_other(hits, np.concatenate([[False], (np.diff(hits) == 1) & (rank[hits[:-1]] == rank[hits[1:]])]))
         sym[hits] = ranks.made[rank[hits]]
         last[hits] = last[hits + 1]
-        keep = np.repeat(~done, size)
         keep[hits + 1] = False
         place = np.cumsum(keep) - 1
         hits = place[hits]
@@ -150,7 +186,6 @@ def merge_counts(chunks: list[bytes], ranks: PairRanks) -> np.ndarray:
         before = hits[hits > 0] - 1
         new = np.concatenate([new, before[~last[before]]])
         rank[new] = ranks(sym[new], sym[new + 1])
-    return out
 
 
 def merge_long(sym: np.ndarray, ranks: PairRanks) -> int:

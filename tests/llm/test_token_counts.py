@@ -92,3 +92,17 @@ def test_small_cases(spark, library):
     want = [(i, len((t or "").encode()), n, n > 3) for (i, t), n in zip(rows, library([t or "" for _, t in rows]), strict=True)]
     assert got == sorted(want, key=str)
     assert token_counts.count_tokens(table.limit(0), PATH).collect() == []
+
+
+def test_packing_ids_equal_the_library(spark):
+    from quarry.llm import packing
+    path = P.path("word_bpe_49k.json")
+    with open(path, "rb") as f:
+        encode = packing.WordEncoder(f.read())
+    rng = random.Random(9)
+    pool = [chr(c) for c in (*range(0x250), *range(0x300, 0x330), 0x2019, 0x3a3, 0x4e00, 0x1f600, 0x2126, 0x1e9e, 0x37e)]
+    bits = ["'s", "'ll", "<|endoftext|>", "<|", "don't", "ABC", " ", "\n", "\t", "1", "23", "...", "!?", "é", "é", "İ", "ß", "x" * 150, "\x1c"]
+    texts = ["".join(rng.choice(p) for _ in range(rng.randint(0, 40))) for p in (pool, bits, pool[:0x180]) for _ in range(600)]
+    ids, lens = encode([t.encode() for t in texts])
+    want = [e.ids + [2] for e in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+    assert lens.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
