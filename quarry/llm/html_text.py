@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from bisect import bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,10 +66,71 @@ _BAD_HINTS = frozenset(HINTS) - {"main"}
 _BAD_TAGS = frozenset("nav footer aside form button select fieldset dialog menu".split())
 
 
+class _Open:
+    """The open elements; every step costs the elements it opens or closes, however deep they are nested."""
+
+    def __init__(self):
+        self.tags: list[str] = []
+        self.masks: list[int] = []          # features of an element and all around it, as bits
+        self.inside: list[bool] = []        # whether an article is around or the element itself
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []         # places of elements that are not inline,
+        self.walls: list[int] = []          # of those but paragraphs,
+        self.scopes: list[int] = []         # and of those that end an implied closing
+
+    def push(self, tag: str, hints: frozenset[str]) -> None:
+        mask, inside = (self.masks[-1], self.inside[-1]) if self.tags else (0, False)
+        names = {f"in:{tag}"} | {h if h == "hidden" else f"hint:{h}" for h in hints}
+        if inside and tag == "header":
+            names.add("article>header")
+        if inside and (tag in _BAD_TAGS or hints & _BAD_HINTS):
+            names.add("article>bad")
+        for name in names & FEATURES.keys():
+            mask |= 1 << FEATURES[name]
+        at = len(self.tags)
+        self.tags.append(tag)
+        self.masks.append(mask)
+        self.inside.append(inside or tag in ("article", "main") or "main" in hints)
+        self.places.setdefault(tag, []).append(at)
+        for of, places in self._lists(tag):
+            if of:
+                places.append(at)
+
+    def _lists(self, tag: str):
+        block = tag not in INLINE
+        return (block, self.blocks), (block and tag != "p", self.walls), (tag in _SCOPE, self.scopes)
+
+    def cut(self, at: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self.tags) > at:
+            tag = self.tags.pop()
+            self.masks.pop()
+            self.inside.pop()
+            self.places[tag].pop()
+            for of, places in self._lists(tag):
+                if of:
+                    places.pop()
+
+    def end(self, tag: str) -> None:
+        """An end tag closes the innermost such element, an inline one only if no block is open in it."""
+        places = self.places.get(tag)
+        if places and not (tag in INLINE and self.blocks and self.blocks[-1] > places[-1]):
+            self.cut(places[-1])
+
+    def make_room(self, tag: str) -> None:
+        """A block ends an open paragraph and the inline elements in it, and what its tag implies."""
+        closes = _CLOSES.get(tag)
+        walls = self.scopes if closes else self.walls
+        wall = walls[-1] if walls else -1
+        first = [places[k] for t in {"p"} | (closes or set()) if (places := self.places.get(t)) and (k := bisect_right(places, wall)) < len(places)]
+        if first:
+            self.cut(min(first))
+
+
 def blocks(page: str) -> list[tuple[str, list[int]]]:
     """(text, active features) of every leaf block with text, in page order."""
     out: list[tuple[str, list[int]]] = []
-    stack: list[tuple[str, frozenset[str]]] = []   # (tag, attribute features)
+    open_ = _Open()
     text: list[str] = []
     linked = 0
     raw_tag = ""
@@ -78,7 +140,8 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
         if text:
             plain = " ".join(html.unescape("".join(text)).split())
             if plain:
-                out.append((plain, _features(plain, stack, linked, raw_tag, not out)))
+                around = (open_.masks[-1], open_.inside[-1]) if open_.tags else (0, False)
+                out.append((plain, _features(plain, *around, linked, raw_tag, not out)))
             text.clear()
         linked = 0
 
@@ -92,19 +155,14 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
             if piece[:2] in ("<!", "<?"):
                 continue
             text.append(piece)
-            if any(t == "a" for t, _ in stack):
+            if open_.places.get("a"):
                 linked += len(piece)
             continue
         tag = tag.lower()
         if m[1] or m[4]:   # an end tag
             if tag not in INLINE:
                 flush()
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in INLINE and any(t not in INLINE for t, _ in stack[k + 1:]):
-                        break
-                    del stack[k:]
-                    break
+            open_.end(tag)
             if tag in MATH and tag != "math" and not page.startswith("</", at):
                 text.append(" ")   # neighbours in a formula stay apart
             continue
@@ -126,17 +184,10 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
             continue
         if tag not in INLINE:
             flush()
-            closes = _CLOSES.get(tag)
-            # a block ends an open paragraph and the inline elements in it
-            for k in range(len(stack) - 1, -1, -1):
-                t = stack[k][0]
-                if t == "p" or closes and t in closes:
-                    del stack[k:]
-                elif t not in INLINE and (not closes or t in _SCOPE):
-                    break
+            open_.make_room(tag)
         if tag in VOID or attrs.endswith("/") and tag in MATH:
             continue
-        stack.append((tag, _attributes(attrs) if attrs else frozenset()))
+        open_.push(tag, _attributes(attrs) if attrs else frozenset())
     flush()
     return out
 
@@ -148,20 +199,8 @@ def _attributes(attrs: str) -> frozenset[str]:
     return frozenset(found)
 
 
-def _features(plain: str, stack, linked: int, raw_tag: str, first: bool) -> list[int]:
+def _features(plain: str, around: int, inside: bool, linked: int, raw_tag: str, first: bool) -> list[int]:
     names = {"bias"}
-    inside = False
-    for tag, hints in stack:
-        key = f"in:{tag}"
-        if key in FEATURES:
-            names.add(key)
-        for h in hints:
-            names.add("hidden" if h == "hidden" else f"hint:{h}")
-        if inside and tag == "header":
-            names.add("article>header")
-        if inside and (tag in _BAD_TAGS or hints & _BAD_HINTS):
-            names.add("article>bad")
-        inside = inside or tag in ("article", "main") or "main" in hints
     if raw_tag:
         names.add(f"raw:{raw_tag}")
     if not inside:
@@ -178,7 +217,9 @@ def _features(plain: str, stack, linked: int, raw_tag: str, first: bool) -> list
         names.add("bar")
     if first:
         names.add("first")
-    return [FEATURES[x] for x in names]
+    for name in names:
+        around |= 1 << FEATURES[name]
+    return [i for i in range(len(FEATURES)) if around >> i & 1]
 
 
 class _Author:
