@@ -5,7 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import written_table
 
 #: Text handled at once inside a task; a longer single text is a block of its own.
 BLOCK_BYTES = 1 << 20
@@ -71,10 +70,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     A table is written once, where ``checkpoint()`` computes the last stage
     twice (once to count it, once to write it), and readers prune its columns.
+    The tables go with ``quarry.session.remove_shared`` or with the application.
     """
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/quarry-tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written_table(df)
 
 
 def tidy() -> None:

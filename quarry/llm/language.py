@@ -55,34 +55,54 @@ def gram_bins(letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return three * np.uint32(0x9E3779B1) >> shift, (four * np.uint32(0x85EBCA77) >> shift) + np.uint32(DIM // 2)
 
 
-def letters_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    raw, off = joined([t.decode().lower().encode() for t in texts])
+def letters_of(texts: list[bytes], sep: bytes = b" ") -> tuple[np.ndarray, np.ndarray]:
+    raw, off = joined([t.decode().lower().encode() for t in texts], sep)
     return _LETTER[raw], off
 
 
-def frequencies(texts: list[bytes]) -> np.ndarray:
-    """Relative bin frequencies (texts x DIM) for fitting."""
-    out = np.zeros((len(texts), DIM), np.float32)
-    for k, t in enumerate(texts):
-        letters, _ = letters_of([t])
-        for bins in gram_bins(letters):
-            out[k] += np.bincount(bins, minlength=DIM).astype(np.float32)
-        out[k] /= len(letters)
-    return out
+class Sparse:
+    """Rows of few non-zero entries: bins, values and the ends of the rows."""
 
+    def __init__(self, bins: np.ndarray, values: np.ndarray, ends: np.ndarray):
+        self.bins, self.values, self.ends = bins, values, ends
+        self.row = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
 
-def linear_svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 120) -> np.ndarray:
+    def __len__(self) -> int:
+        return len(self.ends)
+
+    def take(self, keep: np.ndarray) -> Sparse:
+        """The rows where ``keep`` is true."""
+        own = keep[self.row]
+        return Sparse(self.bins[own], self.values[own], np.cumsum(np.diff(np.concatenate([[0], self.ends]))[keep]))
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, self.values * w[self.bins], minlength=len(self))
+
+    def dot_rows(self, v: np.ndarray) -> np.ndarray:
+        """The transposed product: a sum per bin."""
+        return np.bincount(self.bins, self.values * v[self.row], minlength=DIM)
+
+
+def frequencies(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bins that a text has and their relative frequencies, for fitting."""
+    letters, _ = letters_of([text])
+    bins, n = np.unique(np.concatenate(gram_bins(letters)), return_counts=True)
+    return bins.astype(np.uint16), (n / len(letters)).astype(np.float32)
+
+
+def linear_svm(x: Sparse, y: np.ndarray, l2: float = 1e-3, rounds: int = 120) -> np.ndarray:
     """Weights (last: bias) of an L2-regularized squared-hinge machine, classes weighted alike.
 
     y is +1 or -1. Nesterov steps on the full (bounded) sample.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(x.dtype)
-    step = 1.0 / (2 * float((weight * (x * x).sum(1)).sum()) + l2)
-    w = z = np.zeros(x.shape[1], x.dtype)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    squares = np.bincount(x.row, x.values.astype(np.float64) ** 2, minlength=len(x)) + 1
+    step = 1.0 / (2 * float((weight * squares).sum()) + l2)
+    w = z = np.zeros(DIM + 1)
     for k in range(rounds):
-        slack = np.maximum(0, 1 - y * (x @ z))
-        nxt = z - step * (l2 * z - 2 * x.T @ (weight * slack * y))
+        slack = np.maximum(0, 1 - y * (x.dot(z[:-1]) + z[-1]))
+        push = weight * slack * y
+        nxt = z - step * (l2 * z - 2 * np.append(x.dot_rows(push), push.sum()))
         z = nxt + k / (k + 3) * (nxt - w)
         w = nxt
     return w
@@ -91,32 +111,34 @@ def linear_svm(x: np.ndarray, y: np.ndarray, l2: float = 1e-3, rounds: int = 120
 class Model:
     """Bin weights of all machines side by side, and who they belong to."""
 
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
+    def __init__(self, langs: list[str], x: Sparse, y: np.ndarray):
         self.langs = langs
         self.families = sorted({family_of(c) for c in langs})
-        scale = 1 / np.sqrt(x.mean(0) + 1e-7) if len(x) else np.ones(DIM, np.float32)
-        x = x * scale.astype(np.float32)
+        scale = 1 / np.sqrt(np.bincount(x.bins, x.values, minlength=DIM) / max(1, len(x)) + 1e-7)
+        x = Sparse(x.bins, x.values * scale[x.bins], x.ends)
         fam = np.array([self.families.index(family_of(langs[i])) for i in y], int)
         machines = [(x, np.where(fam == f, 1, -1)) for f in range(len(self.families))] if len(self.families) > 1 else []
         self.pairs = []
         for f, name in enumerate(self.families):
             for a, b in combinations([i for i, c in enumerate(langs) if family_of(c) == name], 2):
                 rows = (y == a) | (y == b)
-                machines.append((x[rows], np.where(y[rows] == a, 1, -1)))
+                machines.append((x.take(rows), np.where(y[rows] == a, 1, -1)))
                 self.pairs.append((f, a, b))
-        fitted = [linear_svm(m, s.astype(np.float32)) for m, s in machines]
+        fitted = [linear_svm(m, s) for m, s in machines]
         self.weights = np.ascontiguousarray(np.array([w[:-1] * scale for w in fitted], np.float32).reshape(-1, DIM).T)
         self.bias = np.array([w[-1] for w in fitted], np.float64)
 
     def margins(self, texts: list[bytes]) -> np.ndarray:
-        """Decision values (texts x machines): bias plus the mean weight over a text's grams."""
-        letters, off = letters_of(texts)
+        """Decision values (texts x machines): bias plus the mean weight over a text's grams, whatever texts are beside it."""
+        letters, off = letters_of(texts, b"    ")
+        beyond = (off[1:, None] - np.arange(1, 4)).ravel()   # grams that begin behind the first blank
         out = np.zeros((len(texts), len(self.bias)))
         three, four = gram_bins(letters)
         for m in range(len(self.bias)):
             w = self.weights[:, m]
-            sums = np.add.reduceat((w[three] + w[four]).astype(np.float64), off[:-1])
-            out[:, m] = sums / np.diff(off) + self.bias[m]
+            own = (w[three] + w[four]).astype(np.float64)
+            own[beyond] = 0.0
+            out[:, m] = np.add.reduceat(own, off[:-1]) / (np.diff(off) - 3) + self.bias[m]
         return out
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], list[float]]:
@@ -152,8 +174,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         bound: int = SAMPLE_PER_LANGUAGE) -> Model:
     """Fit on at most ``bound`` labelled rows of each language (rows with null text or language are left out).
 
-    The sampled texts' bin frequencies are computed in tasks and collected:
-    ``bound`` x languages x 64 KB at most.
+    The sampled texts' non-zero bin frequencies are computed in tasks and
+    collected: ``bound`` x languages x 6 bytes a bin that occurs, at most
+    98 KB a text and some 10 KB for a page of text.
     """
     rows = labelled.where(F.col(text_col).isNotNull())
     chosen = per_class(rows, id_col, lang_col, bound)
@@ -164,15 +187,17 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         for b in batches:
             texts = texts_of(b, "text")
             for k in range(0, len(texts), 50):
-                x = frequencies(texts[k:k + 50])
+                x = [frequencies(t) for t in texts[k:k + 50]]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").slice(k, 50).cast(pa.int64()), b.column("class").slice(k, 50), pa.array([r.tobytes() for r in x], pa.binary())],
-                    ["id", "lang", "x"])
+                    [b.column("id").slice(k, 50).cast(pa.int64()), b.column("class").slice(k, 50),
+                     *(pa.array([part[i].tobytes() for part in x], pa.binary()) for i in (0, 1))], ["id", "lang", "bins", "x"])
 
-    got = sorted(src.mapInArrow(tidied(run), "id bigint, lang string, x binary").collect())
+    got = sorted(src.mapInArrow(tidied(run), "id bigint, lang string, bins binary, x binary").collect())
     langs = sorted({r.lang for r in got})
-    x = np.array([np.frombuffer(r.x, np.float32) for r in got], np.float32).reshape(-1, DIM)
-    return Model(langs, x, np.array([langs.index(r.lang) for r in got], int))
+    bins = np.frombuffer(b"".join(r.bins for r in got), np.uint16)
+    values = np.frombuffer(b"".join(r.x for r in got), np.float32)
+    return Model(langs, Sparse(bins, values, np.cumsum([len(r.bins) // 2 for r in got], dtype=np.int64)),
+                 np.array([langs.index(r.lang) for r in got], int))
 
 
 def has_letter(text: bytes) -> bool:
