@@ -41,9 +41,9 @@ HARD_STEP = 64           # distance of the cuts offered inside a long stretch
 STREAM_BYTES = 2 << 20   # text packed as one stream inside a task
 LOW = 0x180             # texts of characters below (Latin) are cut into units here, others word by word by the library
 NONE = np.zeros(0, np.int32), np.zeros(0, np.int64)
-JOIN = 20_000           # distinct units merged at once
+JOIN = 5_000            # distinct units merged at once
 LONG = 100              # letters; the library encodes longer runs
-UNITS = 240_000         # distinct units kept per task
+UNITS = 160_000         # distinct units kept per task
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, ids binary")

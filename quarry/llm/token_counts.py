@@ -30,7 +30,7 @@ LIMIT = 200_000        # distinct pre-tokens that a task remembers; the older ha
 LONG = 256             # symbols; longer sequences are merged one by one
 SEGMENT = 1 << 20      # characters of a text cut into pre-tokens at once
 NEVER = np.iinfo(np.int32).max
-SLOT_BITS = 19
+SLOT_BITS = 18
 SLOTS = 1 << SLOT_BITS
 #: Fixed value: how byte-level vocabularies cut a text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
