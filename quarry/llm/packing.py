@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import texts_of, tidied
+from quarry.llm.common import row_blocks, texts_of, tidied
 from quarry.llm.idtable import IdTable
 from quarry.llm.token_counts import PairRanks, merge_symbols
 
@@ -43,7 +43,8 @@ LOW = 0x180             # texts of characters below (Latin) are cut into units h
 NONE = np.zeros(0, np.int32), np.zeros(0, np.int64)
 JOIN = 5_000            # distinct units merged at once
 LONG = 100              # letters; the library encodes longer runs
-UNITS = 160_000         # distinct units kept per task
+UNIT_BYTES = 1 << 20    # text held as units at once
+UNITS = 120_000         # distinct units kept per task
 
 PIECES = ("doc_id bigint, start bigint, length bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, ids binary")
@@ -131,7 +132,8 @@ class WordEncoder:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each text (end id included)."""
-        return self.table([self._units(t.decode()) for t in texts])
+        parts = [self.table([self._units(t.decode()) for t in texts[part]]) for part in row_blocks(texts, UNIT_BYTES)]
+        return tuple(np.concatenate(x) for x in zip(NONE, *parts, strict=True))
 
 
 def boundaries(total: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, step: int = HARD_STEP) -> tuple[np.ndarray, np.ndarray]:
