@@ -251,6 +251,51 @@ def test_vectors_against_all_pairs(spark, monkeypatch):
     assert (n <= near.sum(1)).all() and n.sum() >= 0.98 * near.sum()
 
 
+def test_equal_vectors_and_repeated_ids(spark):
+    """Copies of a vector count as links of each other; an id with two vectors joins their components."""
+    rng = np.random.default_rng(12)
+    far = [rng.standard_normal(16).astype(np.float64) for _ in range(40)]
+    rows = [(100 + i, v.tolist(), 0) for i, v in enumerate(far)]
+    rows += [(200 + i, far[0].tolist(), 0) for i in range(300)] + [(600, (far[0] * 1.0001 + 0.001).tolist(), 0), (700, far[0].tolist(), 1)]
+    rows += [(800, far[1].tolist(), 0), (800, far[2].tolist(), 0), (800, far[2].tolist(), 0)]
+    got = {r.vec_id: tuple(r)[1:] for r in multi_index.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")).collect()}
+    assert all(got[i] == (301, 100, i == 100) for i in [100, 600, *range(200, 500)])
+    assert got[700] == (0, 700, True) and got[800] == (2, 101, False)
+    assert got[101] == (1, 101, True) and got[102] == (1, 101, False)
+    assert all(got[i] == (0, i, True) for i in range(103, 140))
+
+
+def test_products_follow_the_visited_cells():
+    """A chunk multiplies a probe with the vectors of the cells it visits, no others."""
+    import pyarrow as pa
+    rng = np.random.default_rng(13)
+    centres = rng.standard_normal((64, 32)) * 3
+    x = multi_index.unit(centres[rng.integers(64, size=6000)] + rng.standard_normal((6000, 32))).astype(np.float32)
+    grid = multi_index.Grid(multi_index.unit(x[:3000].astype(np.float64)), 12)
+    y = multi_index.unit(x.astype(np.float64))
+    cell, made = grid.cell(y), []
+    for visits in (grid.visits, max(1, grid.visits // 2), 1):
+        grid.visits = visits
+        went = grid.visit_order(y)
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([i.to_bytes(16, "big") for i in range(6000)], pa.binary()), pa.array(range(6000), pa.int64()), pa.array([1] * 6000, pa.int64()),
+             pa.array([r.tobytes() for r in x], pa.binary()), pa.array(cell.astype(np.int32)), pa.array([w.astype("<i4").tobytes() for w in went], pa.binary())],
+            ["digest", "rep", "n", "x", "cell", "visits"])
+        chunk = multi_index.Chunk(batch, "<f4", 0.93)
+        counts = np.concatenate([chunk.compare(batch.slice(k, 1000))[0] for k in range(0, 6000, 1000)])
+        held = np.bincount(cell, minlength=144)
+        assert chunk.products == held[went].sum()
+        made.append(chunk.products)
+        met = (went[:, :, None] == cell).any(1) if visits == 1 else None
+        if met is not None:
+            near = (y @ y.T >= 0.93) & ~np.eye(6000, dtype=bool)
+            back = np.zeros(6000, np.int64)
+            order = np.argsort(cell, kind="stable")
+            back[order] = chunk.back
+            assert (counts + back == (near & (met | met.T)).sum(1)).all()
+    assert made[0] > made[1] > made[2] and made[0] < 6000 * 6000
+
+
 def test_visits_reach_the_target_on_unseen_vectors():
     """Pairs at the threshold among vectors that took no part in the fit, 64 codewords a half."""
     rng = np.random.default_rng(9)
