@@ -26,8 +26,10 @@ SLOTS, BANDS = 128, 32        # 4 slots a band: a pair at 0.75 shares none with
 PERCENT = 75                  # link: 100 * intersection >= PERCENT * union
 SMALL = 256                   # candidate clusters up to this size are verified in one task
 LEADERS = 4                   # of a larger cluster, verified against all its members first
-MEMBER_ROWS = 500_000         # up to so many cluster members (16 bytes each) are broadcast to the scan of the texts
-CHUNK_U, CHUNK_V = 128, 1024  # members of a larger cluster that meet in one task
+MEMBER_ROWS = 500_000         # up to so many cluster members (16 bytes each) are broadcast to the scan of the texts,
+                              # and sizes of large clusters or buckets (32 bytes) to their members
+CHUNK_U, CHUNK_V = 128, 1024  # members of a band bucket that meet in one task
+SALTS = 16                    # parts of a class of equal sets when its component is sent to its members
 
 _BANK_BITS = 14
 _bank: list[np.ndarray] = []
@@ -165,6 +167,42 @@ def _leader_links(members: DataFrame, leaders: DataFrame) -> DataFrame:
     return members.join(sets, "cluster").select("id", "elements", "leaders").mapInArrow(tidied(run), "a bigint, b bigint")
 
 
+def _meetings(members: DataFrame) -> DataFrame:
+    """Members outside their cluster's main component and the members they share a band bucket with.
+
+    One row per member and bucket (per chunk of a large bucket), only for
+    buckets that hold such a member and another component; ``bands`` is the
+    bucket's key, and the rows of one (cluster, bin, uc, vc) meet in a task.
+    Small buckets share a bin, large ones are dealt in chunks of both sides.
+    """
+    key = ["cluster", "key"]
+    keys = members.select("cluster", "id", "digest", "comp", "main", F.explode("bands").alias("key"))
+    buckets = checkpointed(
+        keys.groupBy(*key).agg(F.sum((F.col("comp") != F.col("main")).cast("bigint")).alias("n_u"), F.count(F.lit(1)).alias("n_v"),
+                               F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        .where("n_u > 0 AND lo < hi").select(*key, "n_u", "n_v"))
+    # the rows of a large bucket are told apart before any shuffle by bucket
+    hot = bounded_broadcast(buckets.where(F.col("n_v") > CHUNK_V), MEMBER_ROWS)
+    flagged = keys.select(*key, "id", "digest").join(hot, key, "left")
+    cold = flagged.where("n_v IS NULL").drop("n_u", "n_v").join(buckets.where(F.col("n_v") <= CHUNK_V).hint("merge"), key)
+    met = flagged.where("n_v IS NOT NULL").unionByName(cold)
+    lists = met.groupBy("id", "digest").agg(F.collect_list(F.struct("key", "n_u", "n_v")).alias("buckets"))   # BANDS at most
+    rows = (members.join(lists.hint("merge"), ["id", "digest"])
+            .withColumn("bucket", F.explode("buckets")).select("*", "bucket.*").drop("buckets", "bucket")
+            .withColumn("bands", F.array("key")))
+    bins = F.ceil(F.col("size") * BANDS / CHUNK_V)
+    rows = rows.withColumn("bin", F.when((F.col("n_v") <= CHUNK_V) & (F.col("n_u") <= CHUNK_U), F.pmod(F.xxhash64("key"), bins)).otherwise(F.col("key")))
+    chunks = lambda per, n: F.ceil(F.col(n) / per)
+    own = lambda per, n: F.pmod(F.xxhash64("id", "digest"), chunks(per, n))
+    spread = lambda per, n: F.explode(F.sequence(F.lit(0).cast("bigint"), chunks(per, n) - 1))
+    left = rows.where("comp <> main").withColumns({"uc": own(CHUNK_U, "n_u"), "is_u": F.lit(True), "is_v": F.lit(False)}) \
+        .withColumn("vc", spread(CHUNK_V, "n_v"))
+    right = rows.withColumns({"vc": own(CHUNK_V, "n_v"), "is_u": F.lit(False), "is_v": F.lit(True)}) \
+        .withColumn("uc", spread(CHUNK_U, "n_u"))
+    columns = ["cluster", "bin", "uc", "vc", "id", "comp", "bands", "elements", "is_u", "is_v"]
+    return left.select(*columns).unionByName(right.select(*columns))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: str = "") -> DataFrame:
     """(id, n_shingles bigint, component_id bigint, kept boolean) for every input row.
 
@@ -181,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     3. a cluster of up to ``SMALL`` members is verified in one task. Of a
        larger one, all members are verified against ``LEADERS`` members that
        share most buckets; members outside the largest component found then
-       meet all members in chunks of bounded size;
+       meet the members of their own band buckets, in chunks of bounded size;
     4. the components of the confirmed links are the result.
 
     Null and empty texts and texts without words have no shingles and are
@@ -194,16 +232,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     scan = checkpointed(sketch(docs, id_col, text_col, extra=carry))
     reps = (scan.where("id IS NOT NULL AND n > 0").groupBy("digest")
-            .agg(F.min("id").alias("rep"), F.first("bands").alias("bands")))
+            .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands")))
     reps = checkpointed(reps)
     banded = reps.select("rep", F.explode("bands").alias("key"))
     buckets = banded.groupBy("key").agg(F.min("rep").alias("head"), F.count(F.lit(1)).alias("size")).where("size > 1")
     stars = checkpointed(banded.join(buckets.hint("merge"), "key").groupBy("rep", "head").agg(F.sum("size").alias("mates")))
     clusters = connected_components(stars.select(F.col("rep").alias("a"), F.col("head").alias("b")))
     mates = stars.groupBy("rep").agg(F.sum("mates").alias("mates"))
-    sizes = clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    placed = checkpointed(clusters.join(sizes.hint("merge"), "component").join(mates.withColumnRenamed("rep", "node").hint("merge"), "node")
-                          .select("node", F.col("component").alias("cluster"), "size", "mates"))
+    # only the sizes of large clusters are told, so no cluster's members meet for it
+    sizes = checkpointed(clusters.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > SMALL))
+    placed = checkpointed(clusters.join(bounded_broadcast(sizes, MEMBER_ROWS), "component", "left")
+                          .join(mates.withColumnRenamed("rep", "node").hint("merge"), "node")
+                          .select("node", F.col("component").alias("cluster"), F.coalesce("size", F.lit(1)).alias("size"), "mates"))
 
     release(docs.sparkSession)
 
@@ -231,28 +271,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .withColumn("comp", F.coalesce("comp", "id"))
         counts = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"))   # one size per cluster
         salts = F.ceil(F.col("size") / CHUNK_V)   # a cluster's members go to many tasks
-        main = counts.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n_v"),
+        main = counts.groupBy("cluster").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"),
                                              (F.sum("n") - F.max("n")).alias("n_u"), F.first("size").alias("size"))
         main = main.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("size")
         members = checkpointed(members.withColumn("salt", F.pmod(F.xxhash64("id", "digest"), salts))
                                .join(main.hint("merge"), ["cluster", "salt"]).drop("salt"))
-        chunk = lambda per, n: F.pmod(F.xxhash64("id", "digest"), F.greatest(F.lit(1), F.ceil(F.col(n) / per)))
-        spread = lambda per, n: F.explode(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.col(n) / per)) - 1))
-        open_ = members.where("n_u > 0")
-        left = open_.where("comp <> main").withColumns({"uc": chunk(CHUNK_U, "n_u"), "is_u": F.lit(True), "is_v": F.lit(False)}) \
-            .withColumn("vc", spread(CHUNK_V, "n_v"))
-        right = open_.withColumns({"vc": chunk(CHUNK_V, "n_v"), "is_u": F.lit(False), "is_v": F.lit(True)}) \
-            .withColumn("uc", spread(CHUNK_U, "n_u"))
-        rest = (left.select("cluster", "uc", "vc", *columns).unionByName(right.select("cluster", "uc", "vc", *columns))
-                .groupBy("cluster", "uc", "vc").applyInArrow(tidied_group(_verify_group), "a bigint, b bigint"))
+        rest = (_meetings(members.where("n_u > 0").drop("n_u")).groupBy("cluster", "bin", "uc", "vc")
+                .applyInArrow(tidied_group(_verify_group), "a bigint, b bigint"))
         links = links.unionByName(by_leader).unionByName(rest)
 
     release(docs.sparkSession)
     comps = connected_components(links).withColumnsRenamed({"node": "rep", "component": "component_id"})
-    classes = reps.select("digest", "rep").join(comps.hint("merge"), "rep", "left") \
-        .select("digest", F.coalesce("component_id", "rep").alias("component_id"))
-    own = scan.select("id", "n", "digest", *([carry] if carry else []))
-    joined = own.join(classes.hint("merge"), "digest", "left")
+    parts = F.when(F.col("copies") > 1, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")))
+    classes = reps.select("digest", "rep", "copies").join(comps.hint("merge"), "rep", "left") \
+        .select("digest", F.coalesce("component_id", "rep").alias("component_id"), F.explode(parts).alias("part"))
+    own = scan.select("id", "n", "digest", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("part"), *([carry] if carry else []))
+    joined = own.join(classes.hint("merge"), ["digest", "part"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
     return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"), *([carry, "digest"] if carry else []))

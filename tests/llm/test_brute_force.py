@@ -3,7 +3,7 @@
 import hashlib
 import random
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
@@ -136,6 +136,29 @@ def test_near_duplicates_of_a_large_cluster(spark, monkeypatch, small):
     assert got == brute_components({i: sets_of(t) for i, t in rows})
 
 
+def test_unlike_members_meet_by_shared_bands(spark):
+    """A cluster of 20,000 members that are all apart: rows in proportion to the bands that two of them share."""
+    import pandas as pd
+    n = 20_000
+    bands = [[i // 3, *range(n + i * 31, n + i * 31 + 31)] for i in range(n)]   # three members share one band, a few share a large one
+    for i in range(0, n, 10):
+        bands[i][1] = -1
+    ids = list(range(n))
+    table = spark.createDataFrame(pd.DataFrame({"id": ids, "bands": bands, "comp": ids, "digest": [i.to_bytes(16, "big") for i in ids]}),
+                                  "id bigint, bands array<bigint>, comp bigint, digest binary")
+    members = table.selectExpr("*", "1L AS cluster", "0L AS main", f"{n}L AS size", "digest AS elements")
+    rows = minhash._meetings(members).selectExpr("bin", "uc", "vc", "id", "bands[0] AS key", "is_u").collect()
+    assert all(r.key == r.id // 3 for r in rows if r.key >= 0) and sum(r.key >= 0 for r in rows) <= 2 * n
+    hot = [r for r in rows if r.key == -1]
+    assert len(hot) == 1999 * 2 + 2000 * 16   # every chunk of the other side, 1 of 1,024 and 1 of 128 members
+    assert max(Counter((r.bin, r.uc, r.vc) for r in rows).values()) <= 2500
+    met = defaultdict(lambda: ([], []))
+    for r in hot:
+        met[r.bin, r.uc, r.vc][0 if r.is_u else 1].append(r.id)
+    pairs = {(u, v) for us, vs in met.values() for u in us[:3] for v in vs}
+    assert all(u == v or (u, v) in pairs for us, _ in met.values() for u in us[:3] for v in range(0, n, 10))
+
+
 def test_large_clusters_broadcast_nothing(spark, monkeypatch):
     """Leaders and main components grow with the corpus, so they are joined by a merge."""
     for name, value in (("SMALL", 4), ("LEADERS", 2), ("CHUNK_U", 5), ("CHUNK_V", 7), ("MEMBER_ROWS", 0)):
