@@ -34,7 +34,7 @@ def _w(body: str) -> str:
 
 
 ORACLE = {
-    "scan_station_series": _w("SELECT station, measurement, year FROM keys"),
+    "scan_station_series": _w(f"SELECT station, measurement, year, list_transform(vals, lambda x: round(x, {D})) AS \"values\" FROM every_series"),
     "flatten_series": _w(f"SELECT station, measurement, year, list_transform(vals, lambda x: round(x, {D})) AS \"values\" FROM every_series"),
     "valid_length": _w(f"""SELECT measurement, CAST(sum(CASE WHEN len(vals) = {EVENT_SLOTS} THEN 1 ELSE 0 END) AS BIGINT) AS n_valid,
   CAST(sum(CASE WHEN len(vals) = {EVENT_SLOTS} THEN 0 ELSE 1 END) AS BIGINT) AS n_invalid FROM every_series GROUP BY measurement"""),

@@ -81,8 +81,9 @@ def q_scan_series_stats(spark, sf_dir):
 
 
 def q_scan_station_series(spark, sf_dir):
-    """The series that a table of nested station records lists, read without their values."""
-    return FI.scan_station_series(spark, _written(event_series_nested(spark, sf_dir), "series"), ("measurement", "year"))
+    """Every series of a table of nested station records, with its values."""
+    s = FI.scan_station_series(spark, _written(event_series_nested(spark, sf_dir), "series"))
+    return s.select("station", "measurement", "year", F.transform("values", lambda x: r(x)).alias("values"))
 
 
 def q_scan_station_projections(spark, sf_dir):
