@@ -95,3 +95,12 @@ def test_long_runs_of_dots_and_leading_zeros(spark):
                 unescape_entities(F.col("c")).alias("c")).first()
     assert row.a == [dots] and row.b[-1] == "x" and len(row.b) == 2
     assert row.c == "A\x00&#99999999999999999999;"
+
+
+def test_ngrams_split_their_words_once(spark):
+    df = spark.createDataFrame([(" ".join(f"w{i}" for i in range(3000)),), ("a",), (None,)], "s string")
+    grams = df.select("s", T.ngrams(T.ngram_words(F.col("s")), 3).alias("g"))
+    plan = grams._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1, plan
+    got = {r.s: r.g for r in grams.collect()}
+    assert len(got.pop(max((k for k in got if k), key=len))) == 2998 and got == {"a": [], None: []}
