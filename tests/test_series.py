@@ -152,3 +152,13 @@ def test_scan_opens_only_the_leaves_it_lists(spark, tmp_path):
     got = FI.scan_station_projections(spark, str(tmp_path / "p"))
     assert [tuple(r) for r in got.collect()] == [("a", [1.0, 2.0, 3.0])]
     assert "latitude" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scan_query_gives_every_series_with_its_values(spark, tmp_path):
+    from quarry.plans import series_queries as Q
+    spark.sql("""SELECT * FROM VALUES (1L, TIMESTAMP_NTZ '2024-01-01 01:00:00', 7L, 'click', 2.0D, ''),
+        (2L, TIMESTAMP_NTZ '2024-01-02 02:00:00', 7L, 'click', 4.0D, ''), (3L, TIMESTAMP_NTZ '2024-01-01 07:00:00', 7L, 'click', 0.12345678D, ''),
+        (4L, TIMESTAMP_NTZ '2024-05-01 00:00:00', 8L, 'view', 1.0D, '') t(event_id, ts, user_id, event_type, value, props)
+        """).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted(tuple(r) for r in Q.q_scan_station_series(spark, str(tmp_path)).collect())
+    assert got == [("u7", "click", 2024, [3.0, None, 0.123457]), ("u8", "view", 2024, [1.0])]
