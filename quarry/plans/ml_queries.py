@@ -26,6 +26,7 @@ SPLIT_WEIGHTS = (0.7, 0.3)
 # k-means parameters of the reference
 K, RUNS, KMEANS_SEED, CONVERGE = 5, 25, 60295531, 0.1
 MAX_ITER = 100
+ROWS_PER_TASK = 1_000_000   # of the learners: a block that they keep stays below 0.2 GB
 SWEEP_PARALLELISM = 3    # depths fitted at once; each fit of the stand-in is small
 RULE_YEAR = 1997
 MODEL_GRID = ((3, 0.5), (6, 0.3), (6, 0.5))
@@ -284,14 +285,14 @@ def q_kmeans_best(spark, sf_dir):
 # ---- trees ------------------------------------------------------------------------
 
 def _cover_split(spark, sf_dir):
-    c = spread(cover_features(spark, sf_dir))
+    c = spread(cover_features(spark, sf_dir), max_rows=ROWS_PER_TASK)
     d = c.select("vec_id", FE.binarize_class(F.col("label"), COVER_CLASS).alias("label"),
                  array_to_vector("features").alias("features"))
     return TR.declare_features(SA.split_by_weights(d, "vec_id", SPLIT_WEIGHTS), COVER_NAMES, COVER_NOMINAL)
 
 
 def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test")):
-    p = spread(particle_table(spark, sf_dir))
+    p = spread(particle_table(spark, sf_dir), max_rows=ROWS_PER_TASK)
     lab = FE.to_labeled(p.withColumn("label", FE.binarize_threshold(F.col("label"))), F.col("label"), PARTICLE_FEATURES)
     return TR.declare_features(SA.split_by_weights(lab, "key", weights, names), PARTICLE_FEATURES)
 

@@ -112,3 +112,13 @@ def test_file_readers_round_trip(spark):
     assert vec == [1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 9.0]
     cols = FE.split_array_column(p.drop("TRANGE_coeff", "SNWD_coeff"), "TAVG_coeff", 3).columns
     assert [c for c in cols if c.startswith("TAVG")] == ["TAVG_coeff1", "TAVG_coeff2", "TAVG_coeff3"]
+
+
+def test_spread_bounds_the_rows_of_a_partition(spark, tmp_path):
+    from quarry.sources.tables import spread
+    spark.range(1000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    got = spread(df, 2, max_rows=50)
+    assert got.rdd.getNumPartitions() == 20
+    assert max(got.rdd.glom().map(len).collect()) <= 100 and sorted(r.id for r in got.collect()) == list(range(1000))
+    assert spread(df, 1, max_rows=1000).rdd.getNumPartitions() == df.rdd.getNumPartitions()
