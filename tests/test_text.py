@@ -104,3 +104,47 @@ def test_ngrams_split_their_words_once(spark):
     assert plan.count("split(") == 1, plan
     got = {r.s: r.g for r in grams.collect()}
     assert len(got.pop(max((k for k in got if k), key=len))) == 2998 and got == {"a": [], None: []}
+
+
+def _rows_of_blocks(sentences, ns):
+    """The counts as a cluster makes them: pieces of two tasks' blocks, then whole buckets in order."""
+    import pyarrow as pa
+    lines = [pa.RecordBatch.from_arrays([pa.array([s + "\n" for s in part])], ["line"]) for part in (sentences[::2], sentences[1::2])]
+    packed = [b for x in lines for b in NG._block_pieces([x], ns)]
+    dealt = pa.Table.from_batches(packed).sort_by("bucket").to_batches(max_chunksize=3)
+    got = pa.Table.from_batches(NG._bucket_counts(dealt, ns)).to_pylist()
+    return packed, [(r["n"], r["ngram"], r["cnt"]) for r in got]
+
+
+def test_ngram_counts_in_small_blocks(spark, monkeypatch):
+    import collections
+    import random
+    rnd = random.Random(3)
+    sentences = [" ".join(rnd.choice(["a", "b", "cc", ""]) for _ in range(rnd.randint(1, 12))) for _ in range(300)]
+    for ns in ((1, 2, 3, 4, 5), (2,), (1, 4), (7,)):
+        want = collections.Counter((n, " ".join(w[i:i + n])) for w in (s.split(" ") for s in sentences) for n in ns
+                                   for i in range(len(w) - n + 1))
+        for block, batch in ((8 << 20, 1 << 20), (50, 7)):
+            monkeypatch.setattr(NG, "BLOCK_BYTES", block)
+            monkeypatch.setattr(NG, "BATCH", batch)
+            got = _rows_of_blocks(sentences, ns)[1]
+            assert {(n, g): c for n, g, c in got} == want and len(got) == len(want)   # each n-gram in one row
+
+
+def test_ngram_counts_shuffle_one_window_per_position(spark):
+    """A position's n-grams of all lengths above two leave its block as one window, a repeated sentence's once."""
+    words = [f"w{i}" for i in range(1000)]
+    packed, _ = _rows_of_blocks([" ".join(words)] * 50, (1, 2, 3, 4, 5))
+    pieces = sum(len(x) // 8 for b in packed for x in b.column("counts").to_pylist())
+    assert pieces == 2 * (1000 + 999 + 998)   # in each of the two blocks: words, pairs, windows
+
+
+def test_ngram_counts_of_odd_sentences(spark):
+    df = spark.createDataFrame([("",), (None,), ("a_b c",), ("\u00e9\nx\U0001f600y  z",), ("A b",)], "s string")
+    got = {(r.n, r.ngram): r.cnt for r in NG.ngram_counts(df, (1, 3), "s").collect()}
+    assert got == {(1, ""): 6, (1, "a"): 1, (1, "b"): 2, (1, "c"): 1, (1, "x"): 1, (1, "y"): 1, (1, "z"): 1,
+                   (3, "a b c"): 1, (3, "  x"): 1, (3, " x y"): 1, (3, "x y "): 1, (3, "y  z"): 1, (3, "  b"): 1}
+    rows = NG.explode_ngrams(df, (1, 3), "s").groupBy("n", "ngram").count().collect()
+    assert got == {(r.n, r.ngram): r["count"] for r in rows}
+    plan = NG.ngram_counts(df, (1, 3), "s")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan, plan     # no row per position and n
