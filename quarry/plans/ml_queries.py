@@ -284,15 +284,15 @@ def q_kmeans_best(spark, sf_dir):
 
 # ---- trees ------------------------------------------------------------------------
 
-def _cover_split(spark, sf_dir):
-    c = spread(cover_features(spark, sf_dir), max_rows=ROWS_PER_TASK)
+def _cover_split(spark, sf_dir, max_rows=ROWS_PER_TASK):
+    c = spread(cover_features(spark, sf_dir), max_rows=max_rows)
     d = c.select("vec_id", FE.binarize_class(F.col("label"), COVER_CLASS).alias("label"),
                  array_to_vector("features").alias("features"))
     return TR.declare_features(SA.split_by_weights(d, "vec_id", SPLIT_WEIGHTS), COVER_NAMES, COVER_NOMINAL)
 
 
-def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test")):
-    p = spread(particle_table(spark, sf_dir), max_rows=ROWS_PER_TASK)
+def _particle_split(spark, sf_dir, weights=SPLIT_WEIGHTS, names=("train", "test"), max_rows=ROWS_PER_TASK):
+    p = spread(particle_table(spark, sf_dir), max_rows=max_rows)
     lab = FE.to_labeled(p.withColumn("label", FE.binarize_threshold(F.col("label"))), F.col("label"), PARTICLE_FEATURES)
     return TR.declare_features(SA.split_by_weights(lab, "key", weights, names), PARTICLE_FEATURES)
 
@@ -302,7 +302,19 @@ TREE_DATA = {"cover": (_cover_split, 20, 10), "particle": (_particle_split, 32,
 
 
 def _fit(data, learner):
-    return TR.pipeline(learner).fit(data.where(F.col("split") == "train"))
+    """Fit on the train rows, which are dealt out and made into vectors once and kept for the learner's passes.
+
+    Spark ML asks for the RDD of its input several times (to log it, for the
+    classes, the rows and the summaries of the fit), and each time a plan
+    with a shuffle runs that again.
+    """
+    with persisted(data.where(F.col("split") == "train").select("label", "features")) as train:
+        return TR.pipeline(learner).fit(train)
+
+
+def _fit_errors(spark, sf_dir, data, learner):
+    """Errors of a fitted learner. Scoring keeps no rows: a scan of enough splits is scored without a shuffle."""
+    return TR.error_rates(_fit(data(spark, sf_dir), learner), data(spark, sf_dir, max_rows=None))
 
 
 def _per_data_set(spark, run):
@@ -312,22 +324,19 @@ def _per_data_set(spark, run):
 
 def q_gbt_train(spark, sf_dir):
     def run(_, data, bins, __):
-        d = data(spark, sf_dir)
-        return TR.error_rates(_fit(d, TR.gbt(3, max_bins=bins)), d)
+        return _fit_errors(spark, sf_dir, data, TR.gbt(3, max_bins=bins))
     return _per_data_set(spark, run)
 
 
 def q_rf_train(spark, sf_dir):
     def run(_, data, __, bins):
-        d = data(spark, sf_dir)
-        return TR.error_rates(_fit(d, TR.rf(6, max_bins=bins)), d)
+        return _fit_errors(spark, sf_dir, data, TR.rf(6, max_bins=bins))
     return _per_data_set(spark, run)
 
 
 def q_tree_predict(spark, sf_dir):
-    d = _particle_split(spark, sf_dir)
-    m = _fit(d, TR.gbt(3))
-    return m.transform(d).select("key", "split", "label", "prediction")
+    m = _fit(_particle_split(spark, sf_dir), TR.gbt(3))
+    return m.transform(_particle_split(spark, sf_dir, max_rows=None)).select("key", "split", "label", "prediction")
 
 
 def _rule_scored(spark, sf_dir):
@@ -384,11 +393,10 @@ def q_select_model(spark, sf_dir):
 
 def q_sink_model(spark, sf_dir):
     """Errors of a model after it was saved and loaded; the saved copy is removed again."""
-    d = _cover_split(spark, sf_dir)
     path = shared_path(spark, "models")
     try:
-        TR.save_model(_fit(d, TR.gbt(3, max_bins=20)), path)
-        return TR.error_rates(TR.load_model(path), d)
+        TR.save_model(_fit(_cover_split(spark, sf_dir), TR.gbt(3, max_bins=20)), path)
+        return TR.error_rates(TR.load_model(path), _cover_split(spark, sf_dir, max_rows=None))
     finally:
         remove_shared(path)
 
