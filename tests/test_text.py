@@ -139,6 +139,31 @@ def test_ngram_counts_shuffle_one_window_per_position(spark):
     assert pieces == 2 * (1000 + 999 + 998)   # in each of the two blocks: words, pairs, windows
 
 
+def test_ngram_counts_shuffle_is_dense(monkeypatch):
+    """Common words are spelled short and the blocks' pieces of a bucket compressed together, with the same counts."""
+    import collections
+    import random
+    import pyarrow as pa
+    rnd, ns = random.Random(5), (1, 2, 3, 4, 5)
+    words = ["".join(rnd.choices("abcdefgh0123", k=rnd.randint(2, 9))) for _ in range(400)] + ["", "a"]
+    sentences = [" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 30))) for _ in range(6000)]
+    monkeypatch.setattr(NG, "BUCKETS", 64)
+    lines = pa.RecordBatch.from_arrays([pa.array([s + "\n" for s in sentences])], ["line"])
+    monkeypatch.setattr(NG, "BLOCK_BYTES", lines.nbytes // 3)
+    common = NG._common_words([s + "\n" for s in sentences[:500]])
+    assert len(common[0]) > 300 and not set(common[0].to_pylist()) & set(common[1].to_pylist())
+    plain = sum(len(x) for b in NG._block_pieces([lines], ns) for x in b.column("pieces").to_pylist())
+    for dense_bytes in (96 << 20, 1):
+        monkeypatch.setattr(NG, "DENSE_BYTES", dense_bytes)
+        dense = pa.Table.from_batches(list(NG._dense(NG._block_pieces([lines], ns, common))))
+        assert dense.nbytes < (0.4 if dense_bytes > 1 else 0.5) * plain, (dense.nbytes, plain)
+        assert dense_bytes == 1 or dense.num_rows == 64 * 3     # a row per bucket and kind of piece
+        got = pa.Table.from_batches(NG._bucket_counts(NG._loose(dense.sort_by("bucket").to_batches(max_chunksize=50)), ns, common))
+        want = collections.Counter((n, " ".join(w[i:i + n])) for w in (s.split(" ") for s in sentences) for n in ns for i in range(len(w) - n + 1))
+        assert {(r["n"], r["ngram"]): r["cnt"] for r in got.to_pylist()} == want and got.num_rows == len(want)
+    assert [len(x) for x in NG._common_words([])] == [0, 0]
+
+
 def test_ngram_counts_of_odd_sentences(spark):
     df = spark.createDataFrame([("",), (None,), ("a_b c",), ("\u00e9\nx\U0001f600y  z",), ("A b",)], "s string")
     got = {(r.n, r.ngram): r.cnt for r in NG.ngram_counts(df, (1, 3), "s").collect()}
